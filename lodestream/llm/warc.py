@@ -104,6 +104,14 @@ def normalise(data: bytes) -> tuple[bytes, list[tuple[int, int, int]]]:
     return out.getvalue(), index
 
 
+def index_bytes(index: list[tuple[int, int, int]]) -> bytes:
+    return b"".join(_ENTRY.pack(*x) for x in index)
+
+
+def read_index(data: bytes) -> list[tuple[int, int, int]]:
+    return list(_ENTRY.iter_unpack(data))
+
+
 def write_archives(records: DataFrame, base: str) -> DataFrame:
     """Writes records (page_id, url, kind, payload, full_bytes, digest, refers_to) as monolithic archives; one row each."""
 
@@ -149,7 +157,7 @@ def normalise_archives(archives: DataFrame, base: str) -> DataFrame:
                 data, index = normalise(read_file(path))
                 to = f"{base}/members/{path.rpartition('/')[2]}"
                 write_file(to, data, attempt)
-                write_file(f"{to}.idx", b"".join(_ENTRY.pack(*x) for x in index), attempt)
+                write_file(f"{to}.idx", index_bytes(index), attempt)
                 yield pa.RecordBatch.from_arrays([pa.array([to]), pa.array([len(index)], pa.int64())], names=["path", "n"])
 
     return archives.select("path").mapInArrow(rewrite, "path string, n long")
@@ -165,7 +173,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 data, rows, size = read_file(path), [], 0
-                for offset, packed, inflated in _ENTRY.iter_unpack(read_file(f"{path}.idx")):
+                for offset, packed, inflated in read_index(read_file(f"{path}.idx")):
                     record = zlib.decompress(data[offset : offset + packed], 31)
                     if len(record) != inflated:
                         raise ValueError("the index does not fit the archive")
