@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, token_ids, url_filter, warc
+from . import minhash, mixing, quality_rules, token_ids, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
     "op2_token_ids": token_ids.query,
     "op4_quality_rules": quality_rules.query,
     "op5_mixing": mixing.query,
+    "op7_minhash": minhash.query,
     "op10_warc": warc.query,
 }
 ORACLES = {"op1_url_filter": url_filter.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op10_warc": warc.ORACLE}

@@ -228,6 +228,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
 t AS (SELECT payload_digest, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN top <> page_id THEN top END AS refers_to FROM p LEFT JOIN t ON p.payload_digest = t.payload_digest AND payload_bytes >= 1000
 """
