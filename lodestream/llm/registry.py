@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import minhash, mixing, quality_rules, token_ids, url_filter, warc
+from . import decontaminate, minhash, mixing, quality_rules, token_ids, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules.query,
     "op5_mixing": mixing.query,
     "op7_minhash": minhash.query,
+    "op8_decontaminate": decontaminate.query,
     "op10_warc": warc.query,
 }
 ORACLES = {"op1_url_filter": url_filter.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op10_warc": warc.ORACLE}
