@@ -61,7 +61,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     near = "filter(_s, (x, k) -> x.h = _s[k + 1].h or (k > 0 and x.h = _s[k - 1].h))"
     fourth = third.withColumn("_p", F.expr(f"sort_array(transform({near.replace('_s[k + 1].h', 'get(_s, k + 1).h').replace('_s[k - 1].h', 'get(_s, k - 1).h')}, x -> x.i))"))
     covered = F.expr("aggregate(zip_with(_p, slice(_p, 2, greatest(size(_p), 1)), (a, b) -> least(3, coalesce(b - a, 3))), 0L, (s, x) -> s + x)")
-    return fourth.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_h", "_s", "_p")
+    # a later filter on a measurement must not be pushed below it: its arrays would be computed anew inside the lambdas
+    fifth = fourth.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_h", "_s", "_p")
+    return fifth.withColumn("_at", F.monotonically_increasing_id()).where("_at >= 0").drop("_at")
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
