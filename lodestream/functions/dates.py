@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 ZONE = "Asia/Shanghai"
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 # The accepted spellings, first those with a zone, then local ones.
-ZONED = ("EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm Z")
+ZONED = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")
 LOCAL = ("yyyy/MM/dd HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy/MM/dd", "yyyy.MM.dd HH:mm")
 
 
@@ -22,7 +22,8 @@ def parse_date(text: Column) -> Column:
     """A text to a timestamp, whatever its spelling; without a zone it is local to ZONE. The session zone is UTC."""
     s = F.trim(text)
     digits = F.when(s.rlike(r"^\d{10,13}$"), epoch(s.try_cast("double")))
-    zoned = [F.try_to_timestamp(F.regexp_replace(s, r"\bGMT$|\bUTC?$", "+0000"), F.lit(f)) for f in ZONED]
+    undated = F.regexp_replace(F.regexp_replace(s, r"^[A-Za-z]{3,9},\s*", ""), r"\b(GMT|UTC?)$", "+0000")
+    zoned = [F.try_to_timestamp(undated, F.lit(f)) for f in ZONED]
     has_zone = s.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$")
     iso_text = s.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$")
     naive = F.try_to_timestamp(s)

@@ -13,6 +13,10 @@ from lodestream.sources import feeds, fetch
 HEAD = 300  # characters of a text that stand for title and summary
 
 
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def url_forms(spark: SparkSession, d: str) -> DataFrame:
     u = F.col("url")
     return read(spark, d, "pages").select("page_id", urls.url_canon(u).alias("canon"), urls.item_key(u).alias("item_key"), urls.canon_url(u).alias("history_canon"), urls.url_hash(u).alias("url_hash"), urls.url_host(u).alias("host"), urls.slug_title(u).alias("title"))
@@ -126,13 +130,13 @@ def cascade(spark: SparkSession, d: str) -> DataFrame:
 
 
 def episodes(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").withColumn("episode", dates.episode_of(F.col("ts")))
+    e = _events(spark, d).withColumn("episode", dates.episode_of(F.col("ts")))
     day = F.col("episode")
     return e.groupBy("episode", "event_type").agg(F.count("*").alias("n"), F.sum(F.when((F.col("ts") >= dates.window_start(day)) & (F.col("ts") < dates.window_end(day)), 1).otherwise(0)).alias("inside"))
 
 
 def _as_pool(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events")
+    e = _events(spark, d)
     return e.select(
         "event_id", F.when(F.col("event_type") != "error", F.col("ts")).alias("date_published"), F.timestamp_seconds(F.floor(F.unix_timestamp("ts") / 86400) * 86400 + 86400).alias("first_seen"),
         F.when(F.col("user_id") % 7 == 0, F.lit("2024-01-10")).alias("used_in_episode"), (F.col("user_id") % 5 == 0).alias("daily"),
@@ -150,7 +154,7 @@ _UPSERT_AT = "2024-01-15 00:00:00"
 
 def upserted(spark: SparkSession, d: str) -> DataFrame:
     """The events of the first half as a pool, one row a user and type, and the others as a batch with repeated keys."""
-    e = read(spark, d, "events").select(
+    e = _events(spark, d).select(
         F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("item_key"), F.col("event_id"), F.floor("value").cast("string").alias("content_sha"), F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("date_published"),
         (F.col("event_id") % 2).cast("int").alias("signal"), F.col("ts").alias("first_seen"), F.col("ts").alias("last_seen"),
     )
@@ -160,12 +164,12 @@ def upserted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seen_counts(spark: SparkSession, d: str) -> DataFrame:
-    runs = read(spark, d, "events").select(F.col("user_id").alias("item_key"), dates.episode_of(F.col("ts")).alias("episode"))
+    runs = _events(spark, d).select(F.col("user_id").alias("item_key"), dates.episode_of(F.col("ts")).alias("episode"))
     return pool.seen_counts(runs)
 
 
 def fail_streaks(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").withColumn("status", F.when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "view", "skipped").otherwise("ok"))
+    e = _events(spark, d).withColumn("status", F.when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "view", "skipped").otherwise("ok"))
     return pool.fail_streaks(e, "user_id", "event_id", "status")
 
 
@@ -209,7 +213,7 @@ _CLOCK = "(lpad(({x} // 3600000)::VARCHAR, 2, '0') || ':' || lpad((({x} // 60000
 
 
 def merged_windows(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select("user_id", (F.unix_millis("ts")).alias("start_ms"), (F.unix_millis("ts") + F.floor(F.col("value") * 60000)).alias("end_ms"), F.lit(1704067200000).alias("low"), F.lit(1706745600000).alias("high"), "event_type")
+    e = _events(spark, d).select("user_id", (F.unix_millis("ts")).alias("start_ms"), (F.unix_millis("ts") + F.floor(F.col("value") * 60000)).alias("end_ms"), F.lit(1704067200000).alias("low"), F.lit(1706745600000).alias("high"), "event_type")
     return timeline.merge_windows(e, "user_id", "low", "high").select("user_id", F.col("island").cast("long").alias("island"), "start_ms", "end_ms")
 
 
@@ -249,7 +253,7 @@ def order_scalars(spark: SparkSession, d: str) -> DataFrame:
 
 
 def first_success(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select("user_id", "event_id", F.when(F.col("event_type") == "click", "ok").otherwise("error").alias("status"))
+    e = _events(spark, d).select("user_id", "event_id", F.when(F.col("event_type") == "click", "ok").otherwise("error").alias("status"))
     return diff.first_success(e, ["user_id"], "event_id", "status")
 
 
@@ -342,7 +346,7 @@ ORACLES = {
     "tiling_faults": _TIMELINE + """, x AS (SELECT *, lag(end_ms) OVER w AS p, lead(start_ms) OVER w AS nx FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY start_ms)),
         f AS (SELECT conv_id, unnest(list_filter([CASE WHEN p IS NULL AND start_ms <> 0 THEN 'first_not_zero' END, CASE WHEN abs(start_ms - p) > 40 THEN 'seam' END, CASE WHEN end_ms <= start_ms THEN 'no_length' END, CASE WHEN nx IS NULL AND abs(end_ms) > 40 THEN 'last_not_total' END], lambda q: q IS NOT NULL)) AS fault FROM x)
         SELECT conv_id, fault, count(*) AS n FROM f GROUP BY ALL""",
-    "merged_windows": """WITH c AS (SELECT user_id, greatest(epoch_ms(ts), 1704067200000) AS s, least(epoch_ms(ts) + floor(value * 60000)::BIGINT, 1706745600000) AS e FROM events),
+    "merged_windows": """WITH c AS (SELECT user_id, greatest(epoch_us(ts) // 1000, 1704067200000) AS s, least(epoch_us(ts) // 1000 + floor(value * 60000)::BIGINT, 1706745600000) AS e FROM events),
         k AS (SELECT * FROM c WHERE e - s >= 150), r AS (SELECT *, max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM k),
         i AS (SELECT *, sum(CASE WHEN reach IS NULL OR s - reach >= 150 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM r)
         SELECT user_id, island::BIGINT AS island, min(s) AS start_ms, max(e) AS end_ms FROM i GROUP BY ALL""",
