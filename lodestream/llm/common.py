@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestream.plans.storage import materialize, read, shared_dir
+
+__all__ = ["BROADCAST_IDS", "ascii_lower", "crc_fold", "materialize", "read", "shared_dir", "without_ids", "words"]
+
 #: Java character class of the bytes that separate words: space and U+0009 to U+000D.
 WORD_GAP = r"[ \t-\r]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; a local one where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/lodestream"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+#: Up to so many ids, 8 bytes each, are broadcast; beyond that the join shuffles.
+BROADCAST_IDS = 1_000_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it again: its lineage ends there and a lost executor loses nothing."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is in ids (one column of distinct longs); all columns stay."""
+    (name,) = ids.columns
+    gone = materialize(ids.where(F.col(name).isNotNull()).withColumnRenamed(name, "_gone"))
+    small = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
 
 
 def words(text: Column) -> Column:

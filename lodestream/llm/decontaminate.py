@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow_words import hash_words, mix, split_words
-from .common import read, words
+from .common import read, without_ids, words
 
 EDIT_SHARE, REPEATS, DRAWS, STRETCH, SEED = 5, 24, 2, 3, 7
 BLOCK_WORDS, BATCH, WINDOWS = 2_000_000, 2_000, 512
@@ -238,8 +238,7 @@ def _leaks(items: Items, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents into which no item has leaked, with all their columns. A null doc_id can't be told apart and stays."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].cast("long") == F.col("_leaked"), "left_anti")
+    return without_ids(docs, find_leaks(docs, benchmark).select("doc_id").distinct())
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
