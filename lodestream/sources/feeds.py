@@ -26,38 +26,38 @@ ITEM_COLUMNS = ("title", "url", "date_published", "summary", "guid", "image", "t
 def rss_items(docs: DataFrame, source: str, body: str) -> DataFrame:
     """source, title, url, date_published, summary, guid, image, tags of RSS documents; items without a link are left out."""
     parsed = F.from_xml(F.col(body), RSS, {"ignoreNamespace": "false", "mode": "PERMISSIVE"})
-    e = docs.select(source, F.explode(parsed["channel"]["item"]).alias("e"))
-    link = F.trim(F.element_at(F.filter(F.transform("e.link", lambda x: F.coalesce(x["_VALUE"], x["_href"])), lambda u: F.trim(u) != ""), 1))
+    e = docs.select(source, F.explode(parsed["channel"]["item"]).alias("_entry"))
+    link = F.trim(F.element_at(F.filter(F.transform("_entry.link", lambda x: F.coalesce(x["_VALUE"], x["_href"])), lambda u: F.trim(u) != ""), 1))
     is_image = lambda x: F.coalesce(x["_medium"], F.lit("")).startswith("image") | F.coalesce(x["_type"], F.lit("")).contains("image")
     image = F.coalesce(
-        F.get(F.filter(F.col("e.`media:thumbnail`"), lambda x: x["_url"].isNotNull()), 0)["_url"], F.get(F.filter(F.col("e.`media:content`"), lambda x: is_image(x) & x["_url"].isNotNull()), 0)["_url"],
-        F.get(F.filter("e.enclosure", lambda x: F.coalesce(x["_type"], F.lit("")).contains("image")), 0)["_url"],
+        F.get(F.filter(F.col("_entry.`media:thumbnail`"), lambda x: x["_url"].isNotNull()), 0)["_url"], F.get(F.filter(F.col("_entry.`media:content`"), lambda x: is_image(x) & x["_url"].isNotNull()), 0)["_url"],
+        F.get(F.filter("_entry.enclosure", lambda x: F.coalesce(x["_type"], F.lit("")).contains("image")), 0)["_url"],
     )
-    text = F.coalesce(F.nullif(strip_tags(F.col("e.`content:encoded`")), F.lit("")), F.nullif(strip_tags(F.col("e.description")), F.lit("")))
-    tags = F.slice(F.array_compact(F.transform("e.category", lambda c: F.nullif(F.trim(c["_VALUE"]), F.lit("")))), 1, 8)
-    rows = e.select(source, F.coalesce("e.title", F.lit("")).alias("title"), link.alias("url"), F.coalesce(parse_date(F.col("e.pubDate")), parse_date(F.col("e.`dc:date`"))).alias("date_published"), text.alias("summary"), F.col("e.guid._VALUE").alias("guid"), image.alias("image"), F.coalesce(tags, F.array().cast("array<string>")).alias("tags"))
+    text = F.coalesce(F.nullif(strip_tags(F.col("_entry.`content:encoded`")), F.lit("")), F.nullif(strip_tags(F.col("_entry.description")), F.lit("")))
+    tags = F.slice(F.array_compact(F.transform("_entry.category", lambda c: F.nullif(F.trim(c["_VALUE"]), F.lit("")))), 1, 8)
+    rows = e.select(source, F.coalesce("_entry.title", F.lit("")).alias("title"), link.alias("url"), F.coalesce(parse_date(F.col("_entry.pubDate")), parse_date(F.col("_entry.`dc:date`"))).alias("date_published"), text.alias("summary"), F.col("_entry.guid._VALUE").alias("guid"), image.alias("image"), F.coalesce(tags, F.array().cast("array<string>")).alias("tags"))
     return rows.where(F.coalesce("url", F.lit("")) != "")
 
 
 def atom_items(docs: DataFrame, source: str, body: str) -> DataFrame:
     """The same of Atom documents (video feeds too)."""
-    e = docs.select(source, F.explode(F.from_xml(F.col(body), ATOM, {"mode": "PERMISSIVE"})["entry"]).alias("e"))
-    links = F.col("e.link")
+    e = docs.select(source, F.explode(F.from_xml(F.col(body), ATOM, {"mode": "PERMISSIVE"})["entry"]).alias("_entry"))
+    links = F.col("_entry.link")
     plain = F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
     link = F.trim(F.coalesce(F.get(plain, 0)["_href"], F.get(links, 0)["_href"]))
-    image = F.coalesce(F.get(F.col("e.`media:group`.`media:thumbnail`"), 0)["_url"], F.get(F.filter(links, lambda x: (x["_rel"] == "enclosure") & F.coalesce(x["_type"], F.lit("")).contains("image")), 0)["_href"])
-    text = F.coalesce(F.nullif(strip_tags(F.col("e.content._VALUE")), F.lit("")), F.nullif(strip_tags(F.col("e.summary._VALUE")), F.lit("")))
-    tags = F.slice(F.array_compact(F.transform("e.category", lambda c: c["_term"])), 1, 8)
-    rows = e.select(source, F.coalesce("e.title._VALUE", F.lit("")).alias("title"), link.alias("url"), F.coalesce(parse_date(F.col("e.published")), parse_date(F.col("e.updated"))).alias("date_published"), text.alias("summary"), F.col("e.id").alias("guid"), image.alias("image"), F.coalesce(tags, F.array().cast("array<string>")).alias("tags"))
+    image = F.coalesce(F.get(F.col("_entry.`media:group`.`media:thumbnail`"), 0)["_url"], F.get(F.filter(links, lambda x: (x["_rel"] == "enclosure") & F.coalesce(x["_type"], F.lit("")).contains("image")), 0)["_href"])
+    text = F.coalesce(F.nullif(strip_tags(F.col("_entry.content._VALUE")), F.lit("")), F.nullif(strip_tags(F.col("_entry.summary._VALUE")), F.lit("")))
+    tags = F.slice(F.array_compact(F.transform("_entry.category", lambda c: c["_term"])), 1, 8)
+    rows = e.select(source, F.coalesce("_entry.title._VALUE", F.lit("")).alias("title"), link.alias("url"), F.coalesce(parse_date(F.col("_entry.published")), parse_date(F.col("_entry.updated"))).alias("date_published"), text.alias("summary"), F.col("_entry.id").alias("guid"), image.alias("image"), F.coalesce(tags, F.array().cast("array<string>")).alias("tags"))
     return rows.where(F.coalesce("url", F.lit("")) != "")
 
 
 def sitemap_urls(docs: DataFrame, source: str, body: str) -> DataFrame:
     """source, kind (url or sitemap), place, loc, lastmod of sitemaps and sitemap indexes."""
-    parsed = docs.select(source, F.from_xml(F.col(body), SITEMAP, {"mode": "PERMISSIVE"}).alias("s"))
-    one = lambda kind: parsed.select(source, F.lit(kind).alias("kind"), F.posexplode(f"s.{kind}").alias("place", "u"))
+    parsed = docs.select(source, F.from_xml(F.col(body), SITEMAP, {"mode": "PERMISSIVE"}).alias("_map"))
+    one = lambda kind: parsed.select(source, F.lit(kind).alias("kind"), F.posexplode(f"_map.{kind}").alias("place", "_u"))
     rows = one("url").union(one("sitemap"))
-    return rows.select(source, "kind", "place", F.trim("u.loc").alias("loc"), F.trim("u.lastmod").alias("lastmod")).where(F.coalesce("loc", F.lit("")) != "")
+    return rows.select(source, "kind", "place", F.trim("_u.loc").alias("loc"), F.trim("_u.lastmod").alias("lastmod")).where(F.coalesce("loc", F.lit("")) != "")
 
 
 @dataclass(frozen=True)
@@ -119,12 +119,12 @@ def _first(row: Column, places: tuple[str, ...]) -> Column:
 
 def json_items(docs: DataFrame, source: str, body: str, adapter: Adapter) -> DataFrame:
     """Item rows of JSON bodies by a field map; rows without a URL are left out, unreadable bodies have none."""
-    v = docs.select(source, F.try_parse_json(F.col(body)).alias("v"))
-    lists = F.coalesce(*[F.try_variant_get("v", p, "array<variant>") for p in adapter.rows])
-    rows = v.select(source, F.explode(lists).alias("r"))
+    v = docs.select(source, F.try_parse_json(F.col(body)).alias("_doc"))
+    lists = F.coalesce(*[F.try_variant_get("_doc", p, "array<variant>") for p in adapter.rows])
+    rows = v.select(source, F.explode(lists).alias("_row"))
     for inner in adapter.unwrap:
-        rows = rows.withColumn("r", F.coalesce(F.try_variant_get("r", f"$.{inner}", "variant"), F.col("r")))
-    r = F.col("r")
+        rows = rows.withColumn("_row", F.coalesce(F.try_variant_get("_row", f"$.{inner}", "variant"), F.col("_row")))
+    r = F.col("_row")
     url = _first(r, adapter.url)
     for mark, template in adapter.rewrite:
         url = F.when(url.contains(mark), F.coalesce(_place(r, template), url)).otherwise(url)
