@@ -4,12 +4,13 @@
    the minima only the low two bits stay, packed into four longs.
 2. Texts with the same shingle set form a class (128-bit fingerprint); from here on its least doc_id stands for it.
 3. In each bucket of a band, the member that meets most others over all its buckets is the hub: base texts of groups of
-   near copies become hubs. Every member makes a candidate pair with the hub alone, so a bucket makes no more pairs than
-   it has members. The bit signatures give a similarity estimate corrected for chance agreement (a quarter of lanes);
+   near copies become hubs. Every document makes a candidate pair with the strongest hub of its buckets, so there are no
+   more pairs than documents. The bit signatures give a similarity estimate corrected for chance agreement (a quarter of lanes);
    pairs under 0.5, over five standard deviations below 0.75, are dropped. The rest are verified on full shingle sets.
-4. Links join classes to components. Buckets that still hold several components get another hub from outside the hub's
-   component; what is then left, members of different components that no hub has met, is paired outright, so no link of
-   a bucket is lost. A pair of similarity 0.75 shares no band with probability (1 - 0.75^4)^32 < 6e-6.
+4. Links join classes to components. In buckets that still hold several components, the hub meets all members of other
+   components. What is then left, members of different components that no hub has met, is compared in blocks by
+   signature and full set within the tasks: no link of a bucket is lost, and no pairs become rows. A pair of similarity
+   0.75 shares no band with probability (1 - 0.75^4)^32 < 6e-6.
 
 Defined cases: null texts and those without words have no shingles and link with nothing; fewer than five words are one
 shingle; a null doc_id links with nothing; rows repeated under one doc_id share its result; extra columns pass through.
@@ -20,18 +21,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestream.operators.graph import components
+
 from .arrow_words import mix, shingle_sets
-from .common import materialize, read
-from .components import components
+from .common import BROADCAST_IDS, materialize, read, without_ids
 
 HASHES, BANDS, SHINGLE, BITS, LANES_A_LONG = 128, 32, 5, 2, 32
-PERCENT, LEAST_ESTIMATE, HUB_ROUNDS = 75, 0.5, 2
-#: Up to so many doc_ids, 8 bytes each, are broadcast to pick the texts of candidates; beyond that the join shuffles.
-BROADCAST_IDS = 1_000_000
+PERCENT, LEAST_ESTIMATE, HUB_ROUNDS, BLOCK = 75, 0.5, 1, 256
 _RNG = np.random.default_rng(20240229)
 _A = (_RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
 _B = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -107,16 +108,75 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
+def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, shingles of the documents with these ids."""
+    wanted = materialize(ids)
+    small = wanted.count() <= BROADCAST_IDS
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(wanted) if small else wanted, "id", "left_semi")
+    return materialize(texts.mapInArrow(_sets, "id long, shingles array<long>").dropDuplicates(["id"]))
+
+
+def _block_links(left: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a bucket of different labels. left: bucket, size, id, label.
+
+    Members are dealt to blocks of some BLOCK; a task compares two blocks of a bucket: signatures first, then full sets,
+    so that pairs never become rows. A pair that shares several buckets is compared in that of its first band.
+    """
+    known = reps.select(F.col("doc_id").alias("id"), "n_shingles", "s0", "s1", "s2", "s3", "bands")
+    rows = left.join(known, "id").join(_sets_of(left.select("id").distinct(), docs), "id")
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other", "size")
+    return rows.groupBy("bucket", "i", "j").applyInPandas(_compare_blocks, "a long, b long").distinct()
+
+
+def _compare_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+    bucket, i, j = (int(pdf[c].iloc[0]) for c in ("bucket", "i", "j"))
+    x, y = pdf[pdf.block == i], pdf[pdf.block == j]
+    column = lambda p, c: p[c].to_numpy()
+    signs = [np.stack([column(p, f"s{k}") for k in range(HASHES // LANES_A_LONG)], 1).view(np.uint64) for p in (x, y)]
+    bands = [np.stack(list(p.bands)) if len(p) else np.zeros((0, BANDS), np.int64) for p in (x, y)]
+    sets = [list(p.shingles) for p in (x, y)]
+    sizes = [column(p, "n_shingles") for p in (x, y)]
+    ids, labels = [column(p, "id") for p in (x, y)], [column(p, "label") for p in (x, y)]
+    joined: dict[int, int] = {}
+
+    def root(label: int) -> int:
+        while (up := joined.get(label, label)) != label:
+            label = up
+        return label
+
+    links = []
+    for r in range(len(x)):
+        mine = np.flatnonzero((labels[1] != labels[0][r]) & ((ids[1] < ids[0][r]) | (i != j)))
+        low, high = np.minimum(sizes[1][mine], sizes[0][r]), np.maximum(sizes[1][mine], sizes[0][r])
+        mine = mine[100 * low >= PERCENT * high]
+        bits = signs[1][mine] ^ signs[0][r]
+        differ = np.bitwise_count((bits | (bits >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(1, dtype=np.int64)
+        chance = 1 / (1 << BITS)
+        mine = mine[(1 - differ / HASHES - chance) / (1 - chance) >= LEAST_ESTIMATE]
+        same = bands[1][mine] == bands[0][r]
+        mine = mine[bands[0][r][same.argmax(1)] == bucket] if len(mine) else mine
+        if not len(mine):
+            continue
+        inside = np.isin(np.concatenate([sets[1][m] for m in mine]), sets[0][r]).astype(np.int64)
+        counts = np.array([len(sets[1][m]) for m in mine])
+        common = np.add.reduceat(inside, np.cumsum(counts) - counts)
+        for m in mine[100 * common >= PERCENT * (counts + len(sets[0][r]) - common)]:
+            a, b = root(int(labels[0][r])), root(int(labels[1][m]))
+            if a != b:  # one link joins two components
+                joined[max(a, b)] = min(a, b)
+                links.append((int(max(ids[0][r], ids[1][m])), int(min(ids[0][r], ids[1][m]))))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of doc_ids whose full shingle sets are at least PERCENT similar."""
-    wanted = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    small = wanted.count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(wanted) if small else wanted, "id", "left_semi")
-    sets = materialize(texts.mapInArrow(_sets, "id long, shingles array<long>"))
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), docs)
     both = pairs.join(_renamed(sets, "a_"), F.col("a") == F.col("a_id")).join(_renamed(sets, "b_"), F.col("b") == F.col("b_id"))
     common = F.size(F.array_intersect("a_shingles", "b_shingles"))
     union = F.size("a_shingles") + F.size("b_shingles") - common
-    return both.where(100 * common >= PERCENT * union).select("a", "b").distinct()
+    return both.where(100 * common >= PERCENT * union).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -133,36 +193,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     degree = places.groupBy("id").agg(F.sum("size").alias("degree"))
     places = materialize(places.join(degree, "id").select("bucket", "id", "degree"))
 
+    # every document with the strongest hub of all its buckets: one pair a document
     rank = F.struct("degree", (-F.col("id")).alias("low"))
-    hubs = places.groupBy("bucket").agg(F.max(rank).alias("top")).select("bucket", (-F.col("top.low")).alias("hub"))
-    met = places.join(hubs, "bucket").where("id <> hub")  # every member with its bucket's hub
-    pairs = met.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
-    links = _check(pairs, signed, keyed)
+    hubs = places.groupBy("bucket").agg(F.max(rank).alias("top"))
+    best = places.select("bucket", "id").join(hubs, "bucket").groupBy("id").agg(F.max("top").alias("top")).select("id", (-F.col("top.low")).alias("hub"))
+    links = _check(_pairs(best), signed, keyed)
     labels = materialize(components(links))
-    past = hubs
-    for _ in range(HUB_ROUNDS):
+    # then, in buckets that still hold several components, a hub of each at a time with the members of the others
+    past = None
+    for turn in range(HUB_ROUNDS):
         named = _labelled(places, labels)
-        open_buckets = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).where("x < y and n > 2").select("bucket")
-        left = materialize(named.join(open_buckets, "bucket").join(past.withColumnRenamed("hub", "id"), ["bucket", "id"], "left_anti"))
-        # the next hub: of a component other than the first hub's, where there is one
-        first = hubs.join(labels.withColumnRenamed("node", "hub"), "hub", "left").select("bucket", F.coalesce("component", "hub").alias("of"))
-        rank = F.struct((F.col("label") != F.col("of")).alias("apart"), "degree", (-F.col("id")).alias("low"), "label")
-        nxt = materialize(left.join(first, "bucket").groupBy("bucket").agg(F.max(rank).alias("top")).select("bucket", (-F.col("top.low")).alias("hub"), F.col("top.label").alias("hub_label")))
-        met = left.join(nxt, "bucket").where("id <> hub and label <> hub_label")
-        more = _check(met.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct(), signed, keyed)
-        past = past.union(nxt.select("bucket", "hub"))
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        labels = materialize(components(links))
-    # members of different components that have met no hub in common: every pair that is left
-    named = _labelled(places, labels).join(past.withColumnRenamed("hub", "id"), ["bucket", "id"], "left_anti")
-    open_buckets = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("bucket")
-    left = materialize(named.join(open_buckets, "bucket").join(signed, "id"))
+        open_buckets = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("bucket")
+        left = named.join(open_buckets, "bucket")
+        rank = F.struct("degree", (-F.col("id")).alias("low"), "label")
+        if past is not None:
+            left = left.join(past.select("bucket", F.col("hub").alias("id")), ["bucket", "id"], "left_anti")
+            first = past.where("round = 0").join(labels.withColumnRenamed("node", "hub"), "hub", "left").select("bucket", F.coalesce("component", "hub").alias("of"))
+            left = left.join(first, "bucket")
+            rank = F.struct((F.col("label") != F.col("of")).alias("apart"), "degree", (-F.col("id")).alias("low"), "label")
+        left = materialize(left)
+        top = left.groupBy("bucket").agg(F.max(rank).alias("top"))
+        hubs = materialize(top.select("bucket", (-F.col("top.low")).alias("hub"), F.col("top.label").alias("hub_label"), F.lit(turn).alias("round")))
+        met = left.join(hubs, "bucket").where("label <> hub_label")
+        more = _check(_pairs(met), signed, keyed)
+        hubs = hubs.select("bucket", "hub", "round")
+        past = hubs if past is None else past.union(hubs)
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = materialize(components(links))
+    # members of different components that have met no hub in common: every pair that is left, block by block
+    named = _labelled(places, labels).join(past.select("bucket", F.col("hub").alias("id")), ["bucket", "id"], "left_anti")
+    open_buckets = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")).where("x < y").select("bucket", "size")
+    left = materialize(named.join(open_buckets, "bucket").select("bucket", "size", "id", "label"))
     if not left.isEmpty():
-        a, b = _renamed(left, "a_"), _renamed(left, "b_")
-        met = a.join(b, (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_id") > F.col("b_id")) & (F.col("a_label") != F.col("b_label")) & _plausible("a_", "b_"))
-        more = materialize(_verified(materialize(met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()), keyed))
+        more = materialize(_block_links(left, reps, keyed))
         if not more.isEmpty():
             labels = materialize(components(links.union(more)))
 
@@ -171,6 +235,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct pairs a > b of the columns id and hub."""
+    return met.where("id <> hub").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
+
+
 def _labelled(places: DataFrame, labels: DataFrame) -> DataFrame:
     return places.join(labels.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "degree", F.coalesce("component", "id").alias("label"))
 
@@ -191,8 +260,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """docs without the documents that a nearer-to-first one stands for; all columns stay."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    return without_ids(docs, near_duplicates(docs).where("not kept").select("doc_id").distinct())
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
