@@ -1,0 +1,42 @@
+import json
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from lodestream.functions import speech
+from lodestream.operators import judges
+
+
+@pytest.mark.parametrize(("n", "want"), [(0, "零"), (10, "十"), (12, "十二"), (110, "一百一十"), (105, "一百零五"), (1500, "一千五百"), (10020, "一万零二十"), (100000, "十万"), (20014, "二万零一十四"), (100000000, "一亿"), (1000000005, "十亿零五")])
+def test_numbers(n, want):
+    assert speech.read_integer(n) == want
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("GPT-6 发布", "GPT六发布。"), ("增长 5-7%", "增长百分之五到七。"), ("2026年有 2 个", "二零二六年有两个。"), ("Thinker-Talker", "Thinker-Talker。"), ("约 1,500 人", "约一千五百人。"), ("见 https://x.example/a。", "见。"), ("3.5 倍", "三点五倍。"), ("", ""),
+])
+def test_speech(text, want):
+    assert speech.speak(text) == want
+
+
+def test_dictionary():
+    assert speech.speak("Qwen3 和 Qwen3.5", {"Qwen3": "千问三"}).startswith("千问三和")
+
+
+def test_json_and_judges(spark):
+    assert json.loads(judges.first_json('so:\n```json\n{"a": 1}\n```')) == {"a": 1} and judges.first_json("none") is None
+    assert json.loads(judges.first_json("x [1, 2] y")) == [1, 2]
+    rows = spark.createDataFrame([(i, 0) for i in range(60)], "k int, z int").repartition(2)
+
+    def half(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": part.k.iloc[: len(part) // 2 + 1], "v": "keep"})
+
+    got = judges.ask(rows, "k", half, "k int, v string", rounds=9)
+    assert {r.k for r in got.collect()} == set(range(60)) and got.count() == 60
+
+
+def test_summary_row(spark):
+    row = spark.createDataFrame([("t", None, " ", None, ["open ai", "OpenAI", ""], [" f "])], "title string, body string, a string, b string, e array<string>, f array<string>")
+    r = row.select(*[c.alias(k) for k, c in judges.summary_row(*map(F.col, ("title", "body", "a", "b", "e", "f")), {"OpenAI": ["open ai"]}).items()]).first()
+    assert (r.title_zh, r.summary, r.entities, r.facts) == ("t", "t", ["OpenAI"], ["f"])
