@@ -15,6 +15,8 @@ def write_file(uri: str, data: bytes, attempt: str) -> None:
     store.create_dir(path.rpartition("/")[0], recursive=True)
     with store.open_output_stream(f"{path}.{attempt}") as f:
         f.write(data)
+    if store.get_file_info(path).type != fs.FileType.NotFound:  # of an attempt that was lost after it had written
+        store.delete_file(path)
     store.move(f"{path}.{attempt}", path)
 
 
