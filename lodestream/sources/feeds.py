@@ -98,6 +98,10 @@ ADAPTERS = {
     "zenodo": Adapter(("$.data", "$.hits.hits"), ("titles[0].title", "titles[0]", "title"), ("url", "https://doi.org/{doi}"), ("published", "created", "publication_date"), ("descriptions[0].description", "description"), ("doi", "id"), unwrap=("attributes", "metadata")),
     "openrouter": Adapter(("$.data",), ("name", "id"), ("https://openrouter.ai/{id}",), ("created",), ("description",), ("id",), signal=True),
     "cohere": Adapter(("$.result", "$.data"), ("title",), ("https://cohere.com/blog/{slug}",), ("date",), ("subtitle",), ("slug", "_id")),
+    "reddit": Adapter(("$.data.children",), ("title",), ("url_overridden_by_dest", "url", "https://www.reddit.com{permalink}"), ("created_utc",), ("selftext",), ("name", "id"), ("thumbnail",), ("flair:{link_flair_text}", "score:{score}"), unwrap=("data",)),
+    "weibo_hot_band": Adapter(("$.data.band_list",), ("word", "note"), ("https://s.weibo.com/weibo?q={word}",), (), ("category",), ("mid", "word"), tags=("{category}",)),
+    "weibo_posts": Adapter(("$.data.list", "$.data.cards"), ("text_raw", "text"), ("https://weibo.com/{user.idstr}/{mblogid}", "https://m.weibo.cn/status/{bid}"), ("created_at",), ("text_raw", "text"), ("mblogid", "bid", "id"), ("original_pic",), unwrap=("mblog",)),
+    "x_syndication": Adapter(("$.props.pageProps.timeline.entries",), ("full_text", "text"), ("https://x.com/{user.screen_name}/status/{id_str}",), ("created_at",), ("full_text", "text"), ("id_str",), ("entities.media[0].media_url_https",), unwrap=("content", "tweet")),
     "bloomberglaw": Adapter(("$.data.articles.items",), ("headline",), ("url",), ("postedDate",), ("summary",), ("id",)),
 }
 
