@@ -5,7 +5,7 @@ A snapshot is a table; an upsert is a full outer join that gives the next snapsh
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REPLACED = ("title", "content_text", "image", "language", "raw_ref", "source_name", "source_feed_url", "source_kind", "item_guid", "tags", "daily", "content_sha")
@@ -15,19 +15,20 @@ KEPT = ("url", "url_canon", "date_fetched", "first_seen")
 
 def fold_batch(batch: DataFrame, order: Column, key: str = "item_key") -> DataFrame:
     """A batch with repeated keys as one row a key: the last row's columns, the last date that isn't null, whether
-    content changed on the way (A, B, A is a change), the highest signal, the first url and first_seen."""
-    w = Window.partitionBy(key).orderBy(order)
-    all_rows = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marked = batch.withColumn("_moved", F.coalesce(F.lag("content_sha").over(w) != F.col("content_sha"), F.lit(False)))
-    folded = marked.withColumns({"_drift": F.bool_or("_moved").over(Window.partitionBy(key)), "_first_sha": F.first("content_sha").over(all_rows)})
-    if "date_published" in batch.columns:
-        folded = folded.withColumn("date_published", F.last("date_published", ignorenulls=True).over(all_rows))
-    if "signal" in batch.columns:
-        folded = folded.withColumn("signal", F.max("signal").over(Window.partitionBy(key)))
-    for c in [c for c in KEPT if c in batch.columns]:
-        folded = folded.withColumn(c, F.first(c).over(all_rows))
-    last = folded.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order.desc())))
-    return last.where("_n = 1").drop("_n", "_moved")
+    content changed on the way (A, B, A is a change), the highest signal, the first url and first_seen.
+
+    One aggregation that combines in the tasks, so that a hot key is no hot task: rows that are applied one after the
+    other change the content on the way exactly if not all of them are equal.
+    """
+    sha = F.coalesce("content_sha", F.lit(""))
+    rules = {c: F.max_by(c, order) for c in batch.columns if c != key}
+    rules |= {c: F.min_by(c, order) for c in KEPT if c in rules}
+    if "date_published" in rules:
+        rules["date_published"] = F.max_by("date_published", F.when(F.col("date_published").isNotNull(), order))
+    if "signal" in rules:
+        rules["signal"] = F.max("signal")
+    rules |= {"_drift": F.min(sha) != F.max(sha), "_first_sha": F.min_by("content_sha", order)}
+    return batch.groupBy(key).agg(*[x.alias(c) for c, x in rules.items()])
 
 
 def upsert(pool: DataFrame, batch: DataFrame, order: Column, key: str = "item_key") -> DataFrame:
@@ -126,8 +127,8 @@ def needs_summary(pool: DataFrame, episode: Column, start: Column, end: Column,
 
 
 def latest_by(df: DataFrame, key: str, order: Column) -> DataFrame:
-    """The last row of each key (key-value tables, source state)."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order.desc()))).where("_n = 1").drop("_n")
+    """The last row of each key (key-value tables, source state), by one aggregation."""
+    return df.groupBy(key).agg(F.max_by(F.struct(*df.columns), order).alias("_r")).select("_r.*")
 
 
 def save_state(old: DataFrame, new: DataFrame, key: str = "name") -> DataFrame:
