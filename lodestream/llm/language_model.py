@@ -28,15 +28,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pandas.util import hash_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .arrow_words import split_words
 from .common import crc_fold, materialize, read
 
-TOP, SUFFIXES, KNOWN = 640, 256, 1 << 17
+TOP, SUFFIXES, KNOWN = 512, 128, 1 << 17
 DIMS, NOISE, STEPS, RATE, SEED = 24, 10, 250, 0.05, 3
-FOLDS, HELD_OUT, ADD, DISCOUNT, BATCH = 10, 0, 0.1, 0.6, 2_000
+FOLDS, HELD_OUT, ADD, DISCOUNT, BATCH = 10, 0, 0.1, 0.6, 1_000
 START = END = TOP + SUFFIXES  # as a context the start, as an outcome the end
 CLASSES = END + 1
 
@@ -61,15 +61,23 @@ def count_words(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            distinct, index, _ = split_words(whole.column(0))
-            n = np.bincount(index, minlength=len(distinct))
-            used = pa.array(np.flatnonzero(n))
-            words = distinct.take(used)
-            yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(suffix_classes(words).astype(np.int32)), pa.array(n[n > 0])], names=["word", "suffix", "c"])
+            for at in range(0, whole.num_rows, BATCH):
+                distinct, index, _ = split_words(whole.column(0).slice(at, BATCH))
+                n = np.bincount(index, minlength=len(distinct))
+                words = distinct.take(pa.array(np.flatnonzero(n)))
+                yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(suffix_classes(words).astype(np.int32)), pa.array(n[n > 0])], names=["word", "suffix", "c"])
 
     return texts.select("text").mapInArrow(count, "word string, suffix int, c long").groupBy("word").agg(F.min("suffix").alias("suffix"), F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int = KNOWN) -> DataFrame:
+    """The words of the highest counts, all of a count or none, at most ``most``; a window over distinct counts finds
+    the least of them, so that no task sends the driver more than it keeps."""
+    ahead = Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = counts.groupBy("c").agg(F.count("*").alias("n")).withColumn("n", F.sum("n").over(ahead)).where(F.col("n") <= most).agg(F.min("c")).first()[0]
+    return counts.where(F.col("c") >= cut) if cut is not None else counts.limit(0)
+
+
 def count_pairs(texts: DataFrame, top_words: list[str]) -> np.ndarray:
     """CLASSES x CLASSES: how often each class follows each, with starts and ends."""
     shared = texts.sparkSession.sparkContext.broadcast(top_words)
@@ -147,7 +155,7 @@ def score(docs: DataFrame) -> DataFrame:
     sums = {r[0]: r[1:] for r in counts.groupBy("suffix").agg(F.sum("c"), F.count("*")).collect()}  # a row a suffix class
     ends = training.count()
     n, types = sum(x[0] for x in sums.values()) + ends, sum(x[1] for x in sums.values()) + bool(ends)
-    known = counts.orderBy(F.desc("c"), "word").limit(KNOWN).collect()
+    known = sorted(most_frequent(counts).collect(), key=lambda r: (-r.c, r.word))
     top_words = [r.word for r in known[:TOP]]
     # what the suffix classes hold besides the words that are classes of their own
     mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
