@@ -55,16 +55,16 @@ def sha1_64(text: Column) -> Column:
 def simhash(df: DataFrame, key: str, features: Column, name: str = "simhash") -> DataFrame:
     """key -> signed 64-bit simhash of an array of features; no feature gives 0.
 
-    Distinct features are counted before they are hashed, and the 64 votes are sums in one aggregation that combines
-    in the tasks; a key's features never meet as a list.
+    A key's features never meet as a list and are not shuffled: tasks count, for each key, how many hashes have a bit
+    set. A sum holds two counts, of bit i below and of bit i + 32 from bit 32 on; a text has far fewer than 2^32 features.
     """
-    counted = df.select(key, F.explode(features).alias("_f")).groupBy(key, "_f").agg(F.count("*").alias("_n"))
-    hashed = counted.withColumn("_h", sha1_64(F.col("_f")))
-    vote = lambda i: F.sum(F.when(F.getbit("_h", F.lit(i)) == 1, F.col("_n")).otherwise(-F.col("_n"))).alias(f"_v{i}")
-    votes = hashed.groupBy(key).agg(*[vote(i) for i in range(64)])
+    hashed = df.select(key, F.explode(features).alias("_f")).select(key, sha1_64(F.col("_f")).alias("_h"))
+    both = lambda i: F.sum(F.shiftrightunsigned("_h", i).bitwiseAND(F.lit(0x100000001))).alias(f"_v{i}")
+    votes = hashed.groupBy(key).agg(F.count("*").alias("_n"), *[both(i) for i in range(32)])
     bits = F.lit(0).cast("long")
     for i in range(64):
-        bits = bits.bitwiseOR(F.when(F.col(f"_v{i}") > 0, F.expr(f"shiftleft(1L, {i})")).otherwise(F.lit(0).cast("long")))
+        ones = F.col(f"_v{i}").bitwiseAND(F.lit(0xFFFFFFFF)) if i < 32 else F.shiftrightunsigned(F.col(f"_v{i - 32}"), 32)
+        bits = bits.bitwiseOR(F.when(2 * ones > F.col("_n"), F.expr(f"shiftleft(1L, {i})")).otherwise(F.lit(0).cast("long")))
     return df.select(key).distinct().join(votes.select(key, bits.alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))
 
 

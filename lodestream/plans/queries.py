@@ -10,7 +10,7 @@ from lodestream.operators import dedup, diff, graph, pool, select, timeline, val
 from lodestream.plans.storage import materialize, read
 from lodestream.sources import feeds, fetch
 
-HEAD = 300  # characters of a text that stand for title and summary
+HEAD = 300  # characters of a text that the SQL of the fingerprints reads; the queries read all
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -56,8 +56,8 @@ def text_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _fingerprints(spark: SparkSession, d: str, features=hashing.stored_features) -> DataFrame:
-    docs = read(spark, d, "documents").select("doc_id", F.substring("text", 1, HEAD).alias("head"))
-    return hashing.simhash(docs, "doc_id", features(F.col("head")))
+    """Of whole texts; the SQL below still cuts them at HEAD."""
+    return hashing.simhash(read(spark, d, "documents").select("doc_id", "text"), "doc_id", features(F.col("text")))
 
 
 def simhash_stored(spark: SparkSession, d: str) -> DataFrame:
