@@ -156,10 +156,12 @@ def judged(out_verdict: Column, confidence: Column) -> Column:
 def cascade(items: DataFrame, members: DataFrame, clusters: DataFrame, day: Column, judge: Column | None = None) -> DataFrame:
     """The decision of every item against the history as it stands.
 
-    items: key, url_hash, simhash, vector. members: item_id, cluster_id, url_hash, simhash. clusters: cluster_id, state,
-    expires_at, centroid. judge: an expression over key, cluster_id, cos giving A, B, C or null; without it gray stays gray.
+    items: key, url_hash, simhash, vector or null. members: item_id, cluster_id, url_hash, simhash. clusters: cluster_id,
+    state, expires_at, centroid or null. judge: an expression over key, cluster_id, cos giving A, B, C or null; without
+    it gray stays gray.
     Adds verdict, via, cluster_id, cos. Order of decisions: exact hash in any cluster, first open cluster within NEAR
-    bits, no open cluster, cosine over T_AUTO within NEAR_AUTO bits, judge over T_GRAY, else fresh.
+    bits, no open cluster, cosine over T_AUTO within NEAR_AUTO bits, judge over T_GRAY, else fresh. Exact and near need
+    no vectors; an item without one that they leave is fresh by no_vector, and a cluster without one is never the nearest.
     """
     live = clusters.where((F.col("state") == "open") & (F.col("expires_at") >= day))
     exact = members.where((F.col("url_hash") != "") & (F.col("url_hash") != EMPTY_SHA1)).groupBy("url_hash").agg(F.min_by("cluster_id", "item_id").alias("exact_id"))
@@ -173,8 +175,8 @@ def cascade(items: DataFrame, members: DataFrame, clusters: DataFrame, day: Colu
     near = met.groupBy("simhash").agg(F.min("near_id").alias("near_id"))
     rows = rows.join(near, "simhash", "left")
     # the query set, items that nothing cheaper decides, against all open centroids in blocks
-    open_vectors = live.select(F.col("cluster_id").alias("id"), F.col("centroid").alias("v"))
-    left = rows.where("exact_id is null and near_id is null").select(F.col("key").alias("id"), F.col("vector").alias("v"))
+    open_vectors = live.where("centroid is not null").select(F.col("cluster_id").alias("id"), F.col("centroid").alias("v"))
+    left = rows.where("exact_id is null and near_id is null and vector is not null").select(F.col("key").alias("id"), F.col("vector").alias("v"))
     apart = left.select((-F.col("id") - 1).alias("id"), "v")  # item ids apart from cluster ids
     best = knn(apart, open_vectors, "id", "v", 1).select((-F.col("q") - 1).alias("key"), F.col("id").alias("best_id"), "cos")
     rows = rows.join(best, "key", "left")
@@ -185,14 +187,14 @@ def cascade(items: DataFrame, members: DataFrame, clusters: DataFrame, day: Colu
     c, auto = F.col("cos"), (F.col("cos") >= T_AUTO) & (F.coalesce("bits", F.lit(64)) <= NEAR_AUTO)
     decided = rows.withColumn("cluster_id", F.coalesce("exact_id", "near_id", F.when(c >= T_GRAY, F.col("best_id")))).withColumn("_j", answer)
     via = (
-        F.when(F.col("exact_id").isNotNull(), "dup_exact").when(F.col("near_id").isNotNull(), "dup_near").when(F.col("best_id").isNull(), "no_history")
+        F.when(F.col("exact_id").isNotNull(), "dup_exact").when(F.col("near_id").isNotNull(), "dup_near").when(F.col("vector").isNull(), "no_vector").when(F.col("best_id").isNull(), "no_history")
         .when(auto, "dup_same").when((c >= T_GRAY) & (F.col("_j") == "A"), "judge_a").when((c >= T_GRAY) & (F.col("_j") == "B"), "judge_b")
         .when((c >= T_GRAY) & (F.col("_j") == "C"), "judge_c").when(c >= T_GRAY, "judge_na").otherwise("embed_lo")
     )
     out = decided.withColumn("via", via)
-    fresh = F.col("via").isin("no_history", "judge_c", "embed_lo")
+    fresh = F.col("via").isin("no_history", "no_vector", "judge_c", "embed_lo")
     verdict = F.when(F.col("via").isin("dup_exact", "dup_near", "dup_same", "judge_a"), "suppressed").when(F.col("via") == "judge_b", "reissue").when(F.col("via") == "judge_na", "gray").otherwise("fresh")
-    shown = F.when(F.col("via").isin("dup_exact", "dup_near", "no_history"), None).otherwise(F.round("cos", 4))
+    shown = F.when(F.col("via").isin("dup_exact", "dup_near", "no_history", "no_vector"), None).otherwise(F.round("cos", 4))
     return out.select(*items.columns, verdict.alias("verdict"), "via", F.when(~fresh, F.col("cluster_id")).alias("cluster_id"), shown.alias("cos"))
 
 

@@ -117,9 +117,9 @@ def centroids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Odd documents against the even ones as history, each of which is a cluster, with the vectors of the same ids."""
+    """Odd documents against the even ones as history, each of which is a cluster, with the vectors of those ids that have one."""
     rows = read(spark, d, "documents").select("doc_id", F.sha1(F.coalesce("text", F.lit(""))).alias("url_hash"))
-    rows = rows.join(_fingerprints(spark, d), "doc_id").join(read(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("vector")), "doc_id")
+    rows = rows.join(_fingerprints(spark, d), "doc_id").join(read(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("vector")), "doc_id", "left")
     rows = materialize(rows)
     old = rows.where("doc_id % 2 = 0")
     members = old.select(F.col("doc_id").alias("item_id"), F.col("doc_id").alias("cluster_id"), "url_hash", "simhash")

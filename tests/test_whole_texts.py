@@ -49,3 +49,15 @@ def test_fingerprints_and_groups_of_whole_texts(spark, tmp_path):
     assert near == {(1, 5), (3, 4), (6, 7)}
     assert {(r.a, r.b) for r in q.near_pairs(spark, d).collect()} == near
     assert {r.doc_id: (r.component, r.kept) for r in q.near_components(spark, d).collect()} == {1: (1, True), 2: (2, True), 3: (3, True), 4: (3, False), 5: (1, False), 6: (6, True), 7: (6, False), 8: (8, True)}
+
+
+def test_cascade_judges_documents_without_vectors(spark, tmp_path):
+    """Odd ids are items, even ones history; 8, 9 and 11 have vectors."""
+    copy = _words("e", 200)
+    d = _documents(spark, tmp_path, {1: copy, 2: copy, 3: "First opening. " + _words("f", 900), 4: "Another opening. " + _words("f", 900), 5: _words("g", 50), 8: _words("h", 50), 9: _words("i", 50), 11: copy})
+    spark.createDataFrame([(8, [1.0, 0.0]), (9, [1.0, 0.1]), (11, [0.0, 1.0])], "vec_id long, embedding array<float>").write.parquet(f"{d}/embeddings.parquet")
+    got = {r.key: (r.verdict, r.via, r.cluster_id, r.cos) for r in q.cascade(spark, d).collect()}
+    assert got == {
+        1: ("suppressed", "dup_exact", 2, None), 3: ("suppressed", "dup_near", 4, None), 5: ("fresh", "no_vector", None, None), 9: ("gray", "judge_na", 8, 0.995),
+        11: ("suppressed", "dup_exact", 2, None),
+    }
