@@ -101,7 +101,7 @@ def near_components(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rare_token_pairs(spark: SparkSession, d: str) -> DataFrame:
-    docs = read(spark, d, "documents").select("doc_id", hashing.title_tokens(F.substring("text", 1, 100)).alias("tokens"))
+    docs = read(spark, d, "documents").select("doc_id", hashing.title_tokens(F.col("text")).alias("tokens"))
     return dedup.rare_token_pairs(docs, "doc_id", "tokens", docs.count())
 
 

@@ -61,3 +61,16 @@ def test_cascade_judges_documents_without_vectors(spark, tmp_path):
         1: ("suppressed", "dup_exact", 2, None), 3: ("suppressed", "dup_near", 4, None), 5: ("fresh", "no_vector", None, None), 9: ("gray", "judge_na", 8, 0.995),
         11: ("suppressed", "dup_exact", 2, None),
     }
+
+
+def test_rare_tokens_of_whole_texts(spark, tmp_path):
+    """Rarity and pairs are those of whole texts: a late token links, and one that is frequent late is not rare."""
+    texts = {k: f"word{k} " * 40 + "late " * (k % 2) + "common" for k in range(1, 13)}
+    texts |= {1: "common " + texts[1], 2: "common " + texts[2], 3: texts[3] + " rare1", 4: texts[4] + " rare1", 13: None}
+    d = _documents(spark, tmp_path, texts)
+    found = {k: set(re.findall("[a-z0-9]+", t or "")) for k, t in texts.items()}
+    count = {t: sum(t in x for x in found.values()) for t in set().union(*found.values())}
+    rare = {t for t, n in count.items() if 2 <= n <= min(8, max(3, len(texts) // 3))}
+    want = {(a, b, len(found[a] & found[b] & rare)) for a, b in combinations(found, 2) if found[a] & found[b] & rare}
+    assert want == {(3, 4, 1)}
+    assert {tuple(r) for r in q.rare_token_pairs(spark, d).collect()} == want
