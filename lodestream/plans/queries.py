@@ -51,7 +51,7 @@ def text_forms(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
     return read(spark, d, "documents").select(
         "doc_id", text.guess_lang(t).alias("lang"), text.bounded_text(t, 200).alias("bounded"), text.clip(t, 50).alias("clipped"), F.array_join(text.numbers(t), ",").alias("numbers"),
-        hashing.content_sha(t, F.lit(None), t, F.col("source")).alias("content_sha"), text.slugify(t, hashing.sha16(t), unicode=False).alias("slug"), text.tts_text_fix(F.substring(t, 1, 100)).alias("spoken"), F.trim(F.substring(t, 1, 20)).alias("title"),
+        hashing.content_sha(t, F.lit(None), t, F.col("source")).alias("content_sha"), text.slugify(t, hashing.sha16(t), unicode=False).alias("slug"), text.tts_text_fix(t).alias("spoken"), F.trim(F.substring(t, 1, 20)).alias("title"),
     )
 
 
@@ -265,7 +265,7 @@ def new_signals(spark: SparkSession, d: str) -> DataFrame:
 
 def json_feed(spark: SparkSession, d: str) -> DataFrame:
     """Documents as JSON bodies of one API row each, parsed again by the field map."""
-    row = F.struct(F.col("source").alias("title"), F.concat(F.lit("https://x.example/"), F.col("doc_id").cast("string")).alias("url"), F.col("doc_id").alias("short_id"), F.substring("text", 1, 50).alias("description"), (F.lit(1700000000) + F.col("doc_id")).alias("created_at"), F.array("lang").alias("tags"))
+    row = F.struct(F.col("source").alias("title"), F.concat(F.lit("https://x.example/"), F.col("doc_id").cast("string")).alias("url"), F.col("doc_id").alias("short_id"), F.col("text").alias("description"), (F.lit(1700000000) + F.col("doc_id")).alias("created_at"), F.array("lang").alias("tags"))
     bodies = read(spark, d, "documents").select("doc_id", F.to_json(F.array(row)).alias("body"))
     return feeds.json_items(bodies, "doc_id", "body", feeds.ADAPTERS["lobsters"]).select("doc_id", "title", "url", F.unix_timestamp("date_published").alias("published"), "guid", F.array_join("tags", ",").alias("tags"))
 

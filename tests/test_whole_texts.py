@@ -74,3 +74,8 @@ def test_rare_tokens_of_whole_texts(spark, tmp_path):
     want = {(a, b, len(found[a] & found[b] & rare)) for a, b in combinations(found, 2) if found[a] & found[b] & rare}
     assert want == {(3, 4, 1)}
     assert {tuple(r) for r in q.rare_token_pairs(spark, d).collect()} == want
+
+
+def test_spoken_form_of_whole_texts(spark, tmp_path):
+    d = _documents(spark, tmp_path, {1: "plain words " * 20 + "GPT-4 and  8-bit"})
+    assert q.text_forms(spark, d).first().spoken == "plain words " * 20 + "GPT 4 and 8 bit"
