@@ -192,7 +192,6 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocab = self.tokenizer.get_vocab()
         self.token_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():

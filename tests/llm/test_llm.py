@@ -336,3 +336,14 @@ def test_pipeline(spark):
         want.append((r.doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4"))))
         at += len(ids)
     assert sorted(map(tuple, rows)) == sorted(want)
+
+
+def test_special_tokens_as_the_library_encodes_them():
+    from tokenizers import Tokenizer
+
+    path = token_ids.tokenizer_file()
+    texts = ["x <|endoftext|> a", "<|endoftext|>", "a<|endoftext|>b. <|endoftext|>, c", "plain words", "  <|endoftext|>\n<|endoftext|> x"]
+    plain, e = Tokenizer.from_file(path), token_ids.PieceEncoder(path)
+    ids, _ = e.encode(texts)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in want for i in [*w, token_ids.END_ID]]
