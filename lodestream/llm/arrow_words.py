@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +14,8 @@ _LOWER[65:91] += 32
 _GAP = np.arange(256, dtype=np.uint8)
 _GAP[9:14] = 32
 _KEY = "lodestream-words"
+#: A worker takes up so much text at a time: what it makes of a batch is a small multiple of this.
+PIECE_ROWS, PIECE_BYTES = 1_000, 2 << 20
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33))
 
 
@@ -22,6 +26,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _MIX[2])
 
 
+def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = PIECE_ROWS, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most so many rows and bytes of the column numbered text; a larger row stands alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right"))
+            to = min(at + rows, max(at + 1, fit))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words, the number of each word in text order, and for each text the bounds of its words.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.plans.storage import materialize, read, shared_dir
 
-__all__ = ["BROADCAST_IDS", "ascii_lower", "crc_fold", "materialize", "read", "shared_dir", "without_ids", "words"]
+__all__ = ["BROADCAST_IDS", "ROW", "ascii_lower", "carry", "crc_fold", "expand", "materialize", "read", "shared_dir", "without_ids", "without_rows", "words"]
 
 #: Java character class of the bytes that separate words: space and U+0009 to U+000D.
 WORD_GAP = r"[ \t-\r]"
@@ -19,11 +21,34 @@ BROADCAST_IDS = 1_000_000
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in ids (one column of distinct longs); all columns stay."""
-    (name,) = ids.columns
-    gone = materialize(ids.where(F.col(name).isNotNull()).withColumnRenamed(name, "_gone"))
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """docs without the rows whose doc_id is in ids (one column of distinct longs); all columns stay, whatever their names."""
+    return _without(docs, ids.toDF("_gone"), lambda row, gone: row["doc_id"].cast("long") == gone["_gone"])
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs without the rows of these ids and texts: rows has distinct doc_id and xxhash64 of the text."""
+    return _without(docs, rows.toDF("_gone", "_text"), lambda row, gone: (row["doc_id"].cast("long") == gone["_gone"]) & (F.xxhash64(row["text"]) == gone["_text"]))
+
+
+def _without(docs: DataFrame, gone: DataFrame, same: Callable[[Column, DataFrame], Column]) -> DataFrame:
+    gone = materialize(gone.where("_gone is not null"))
+    sized = F.broadcast if gone.count() <= BROADCAST_IDS else lambda df: df
+    return expand(carry(docs).join(sized(gone), same(F.col(ROW), gone), "left_anti"))
+
+
+#: The column in which an operator carries a caller's whole row past its own columns, whatever the caller's are named.
+ROW = "__carried_row"
+
+
+def carry(df: DataFrame) -> DataFrame:
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW))
+
+
+def expand(df: DataFrame, added: Sequence[str] = (), but: Sequence[str] = ()) -> DataFrame:
+    """The carried columns again, then those of added, which replace carried ones of their names; without those of but."""
+    gone = {c.lower() for c in (*added, *but)}
+    own = [c for c in df.schema[ROW].dataType.names if c.lower() not in gone]
+    return df.select(*[F.col(ROW)[c].alias(c) for c in own], *added)
 
 
 def words(text: Column) -> Column:
