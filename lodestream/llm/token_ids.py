@@ -1,7 +1,7 @@
 """Token ids of documents in binary files, packed with Simple-8b.
 
-Documents are dealt to tasks by ranges of doc_id and sorted there; each task encodes whole texts with a tokenizers
-file and writes shards of whole documents. A 64-bit word holds a selector in its top four bits and as many ids as
+Documents are dealt to tasks by ranges of doc_id, and of the texts' hashes where ids are equal, and sorted there; each
+task encodes whole texts with a tokenizers file and writes shards of whole documents. A 64-bit word holds a selector in its top four bits and as many ids as
 the selector's width admits; ids of over 60 bits follow an escape word as raw words. Ids are packed in blocks of 256
 that start on a word of their own; the block offsets in a shard's head let a reader decode any block, all at once.
 
@@ -12,12 +12,17 @@ Encoding: byte-level BPE never merges across a space between two visible charact
 punctuation, so texts are cut there and the tokenizer sees each distinct piece once while it stays in a bounded memo
 of the worker; the ids are those of the whole text.
 
-Defined cases: null and empty texts have the end id alone; a null doc_id sorts first; repeated rows are documents of
-their own; an empty table writes nothing and gives no rows; other columns are not read.
+Memory of a worker: PIECE_BYTES of text at a time, a memo of MEMO_PIECES pieces and MEMO_IDS ids, a shard of SHARD_IDS
+ids or one larger document; the memo is dropped when a task ends.
+
+Defined cases: null and empty texts have the end id alone; a null doc_id sorts first; documents of one doc_id stand in
+the order of their texts' hashes; repeated rows are documents of their own; an empty table writes nothing and gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,6 +34,7 @@ from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .arrow_words import pieces as slices
 from .common import materialize, read, shared_dir
 from .files import read_file, write_file
 
@@ -36,7 +42,7 @@ BLOCK = 256
 #: Ids per word and bits per id by selector (fixed values of the format); selector 0 announces a raw word.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
-SHARD_IDS, MEMO_PIECES, BATCH, END_ID = 2_000_000, 3_000_000, 2_000, 0
+SHARD_IDS, MEMO_PIECES, MEMO_IDS, END_ID = 1_000_000, 500_000, 2_000_000, 0
 _PAD, _MAGIC, _HEAD = 120, b"S8B1", struct.Struct("<4sIQQQ")
 _CLASS_OF_BITS = np.array([next((s for s in range(1, 16) if WIDTHS[s] >= b), 16) for b in range(65)], np.uint8)
 _CLASS_OF_SMALL = _CLASS_OF_BITS[np.array([v.bit_length() for v in range(1 << 16)])]
@@ -180,12 +186,26 @@ def read_shard(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [int(k) if v else None for k, v in zip(keys, valid, strict=True)], n_tokens.astype(np.int64), unpack(words, offsets, n_ids)
 
 
+_Table = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _table() -> _Table:
+    return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+
+def _merged(one: _Table, two: _Table) -> _Table:
+    both = [np.concatenate(x) for x in zip(one, two, strict=True)]
+    order = np.argsort(both[0], kind="stable")
+    return tuple(x[order] for x in both)
+
+
 class PieceEncoder:
     """Whole texts to ids through a tokenizers file of byte-level BPE, with a bounded memo of pieces.
 
     Texts are cut at single spaces. Arrow finds the distinct pieces of a batch; the memo holds their ids by a 128-bit
-    fingerprint in sorted arrays. A piece with white space at an edge must not be cut off, so texts that have one are
-    encoded as they stand, as is the first piece of every text, which follows no space.
+    fingerprint in two sorted tables, of which the small one takes the new pieces and now and then goes into the large.
+    A piece with white space at an edge must not be cut off, so texts that have one are encoded as they stand, as is the
+    first piece of every text, which follows no space.
     """
 
     def __init__(self, path: str) -> None:
@@ -196,12 +216,11 @@ class PieceEncoder:
         self.token_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.token_bytes[i] = len(token)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.starts, self.lens = np.zeros(0, np.int64), np.zeros(0, np.int32)  # a length of -1: not to be cut off
-        self.flat, self.used = np.zeros(1 << 20, np.int32), 1
+    def forget(self) -> None:
+        self.large, self.small = _table(), _table()
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 1
         self.flat[0] = END_ID
 
     def _append(self, ids: np.ndarray) -> int:
@@ -212,19 +231,22 @@ class PieceEncoder:
         self.used += len(ids)
         return at
 
-    def _look_up(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of distinct pieces begin, and how many there are."""
-        key, check = (hash_array(pieces, hash_key=k, categorize=False) for k in ("lodestream-key-1", "lodestream-key-2"))
-        at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-        known = (self.keys[at] == key) & (self.checks[at] == check) if len(self.keys) else np.zeros(len(key), bool)
-        starts, lens = np.zeros(len(key), np.int64), np.zeros(len(key), np.int32)
-        starts[known], lens[known] = self.starts[at[known]], self.lens[at[known]]
+    def _look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of distinct pieces begin, and how many there are; -1: not to be cut off."""
+        key, check = (hash_array(found, hash_key=k, categorize=False) for k in ("lodestream-key-1", "lodestream-key-2"))
+        starts, lens, known = np.zeros(len(key), np.int64), np.zeros(len(key), np.int32), np.zeros(len(key), bool)
+        for keys, checks, at_starts, at_lens in (self.large, self.small):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                here = (keys[at] == key) & (checks[at] == check)
+                starts[here], lens[here] = at_starts[at[here]], at_lens[at[here]]
+                known |= here
         new = np.flatnonzero(~known)
         if len(new):
-            starts[new], lens[new] = self._encode(pieces[new].tolist())
-            merged = [np.concatenate(x) for x in ((self.keys, key[new]), (self.checks, check[new]), (self.starts, starts[new]), (self.lens, lens[new]))]
-            order = np.argsort(merged[0], kind="stable")
-            self.keys, self.checks, self.starts, self.lens = (x[order] for x in merged)
+            starts[new], lens[new] = self._encode(found[new].tolist())
+            self.small = _merged(self.small, (key[new], check[new], starts[new], lens[new]))
+            if 8 * len(self.small[0]) > len(self.large[0]):
+                self.large, self.small = _merged(self.large, self.small), _table()
         return starts, lens
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -257,8 +279,8 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by END_ID, and how many each text has."""
-        if len(self.keys) > MEMO_PIECES:
-            self._forget()
+        if len(self.large[0]) + len(self.small[0]) > MEMO_PIECES or self.used > MEMO_IDS:
+            self.forget()
         column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         n = len(column)
         split = pc.split_pattern(pc.fill_null(column, ""), " ")
@@ -303,7 +325,10 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def _encoder(path: str) -> PieceEncoder:
+    """The worker's encoder of a file; a task has one core, so the library gets no threads of its own."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
 
@@ -330,24 +355,27 @@ def write_ids(docs: DataFrame, base: str, tokenizer_path: str) -> DataFrame:
                 rows.append((task.partitionId(), len(rows), path, len(doc_ids), len(flat)))
             doc_ids, counts, ids, held = [], [], [], 0
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH):
-                part = batch.slice(at, BATCH)
-                got, n = encoder.encode(part.column(1))
-                doc_ids += part.column(0).to_pylist()
-                counts.append(n)
-                ids.append(got)
-                held += len(got)
-                if held >= SHARD_IDS:
-                    flush()
+        for part in slices(batches):
+            got, n = encoder.encode(part.column(1))
+            doc_ids += part.column(0).to_pylist()
+            counts.append(n)
+            ids.append(got)
+            held += len(got)
+            if held >= SHARD_IDS:
+                flush()
         flush()
+        encoder.forget()
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds], names=["part", "seq", "path", "n_docs", "n_ids"])
 
     kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    shards = materialize(ordered.mapInArrow(write, _MANIFEST))
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
-    return shards.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("key")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    shards = materialize(ordered.select("doc_id", "text").mapInArrow(write, _MANIFEST))
+    # the ids before a shard: those of the tasks before its own (one row a task), and of that task's shards before it
+    earlier = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).select("part", earlier(Window.orderBy("part")).alias("before"))
+    return shards.join(parts, "part").withColumn("start", (F.col("before") + earlier(Window.partitionBy("part").orderBy("seq"))).cast("long")).drop("before")
 
 
 def read_ids(shards: DataFrame) -> DataFrame:
