@@ -1,20 +1,25 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Words become symbols of a small alphabet: insult, threat, target, negation, reported speech, other. Five transducers
-read a clause's symbols, each a table (state, symbol) -> (state, weight): the insult and threat transducers open a
-pattern, the target transducer strengthens one that an addressed person stands near, the negation and the
-reported-speech transducers weaken what follows them. ``compose`` makes their product, one deterministic machine whose
-states are tuples and whose weights add up, as in the log semiring; a clause's score is the weight of its path. Single
-words never score by themselves: they only move the machine, and the same insult counts less in a negated or reported
-clause than in one aimed at somebody. A document's score is a logistic of its clauses' scores.
+read a clause's symbols, other words included, each a table (state, symbol) -> (state, label or none): the insult and
+the threat transducer label their words, the threat transducer a target that follows within GAP words; the target
+transducer labels an insult with a target at most GAP words before or after it; the negation transducer labels
+what stands within GAP words after a negation, the reported-speech transducer what follows a reporting verb in the
+clause. ``compose`` makes their product, one deterministic machine whose states are tuples and whose arcs carry the
+labels of all parts. Every label has a weight; a clause scores the sum of its path's weights, and a document is a
+logistic of its labels' damped counts with the same weights.
+
+The weights are fitted to the labelled sample outside the held-out fold, by a logistic regression that a ridge draws
+to PRIOR: there a bare insult or threat weighs next to nothing, an aimed one much, and negation and report take away.
+What a bare word weighs on a corpus is thus decided by that corpus's labels, never by the word list.
 
 The lexicons of threats, targets, negations and reporting verbs are fixed word lists in four languages. Insults are a
-seed list and words learned from the labelled sample outside the held-out fold: those whose document counts among
-toxic rows exceed chance by a likelihood ratio of at least LEAST_G2. The logistic is fitted on the same sample.
+seed list and all words of the sample whose document count among toxic rows exceeds chance by a likelihood ratio of at
+least LEAST_G2; the sample's bound is theirs.
 
 Defined cases: null and empty texts have no clause and get the score of a text without matches; texts are read whole;
-without labels the seeds alone score; repeated rows each get their score; an empty table gives none; extra columns are
-not read.
+without labels of both classes the weights are PRIOR's; repeated rows each get
+their score; an empty table gives none; extra columns are not read; equal likelihood ratios are all kept.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow_words import split_words
+from .arrow_words import pieces, split_words
 from .common import ascii_lower, materialize, read, words
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 
@@ -43,99 +48,116 @@ SEEDS = {
     REPORT: "said says quote quoted reported reports according alleged claimed called sagte sagt laut zitiert berichtet dit disait selon rapporte dijo dice según citó",
 }
 CLAUSE_END, EDGES = ".!?;:", ".,;:!?\"'()[]{}*#"
-LEAST_G2, LEAST_ROWS, THRESHOLD, BATCH = 25.0, 5, 0.3, 2_000
-LEXICON = 5_000  # learned words kept at most, by likelihood ratio
+LEAST_G2, LEAST_ROWS, THRESHOLD, GAP = 25.0, 5, 0.3, 4
 
-Transducer = dict[tuple[int, int], tuple[int, float]]
+#: Labels of arcs, their weights before any labelled row is seen, and how strongly the ridge holds each to that.
+LABELS = ("insult", "threat", "aimed_insult", "aimed_threat", "negated", "reported")
+PRIOR, PRIOR_BIAS, RIDGE = (0.1, 0.05, 3.0, 2.5, -1.5, -1.0), -2.5, 0.5
+BARE, THREATENS, AIMED, AIMED_THREAT, NEGATED, REPORTED = range(len(LABELS))
+
+Transducer = dict[tuple[int, int], tuple[int, int | None]]
+
+
+def _fading(opener: int, first: int = 1) -> Transducer:
+    """States first .. first + GAP - 1 after the symbol opener: each other word is a step, the last falls back to 0."""
+    last = first + GAP - 1
+    arcs: Transducer = {(q, OTHER): (q + 1 if q < last else 0, None) for q in range(first, last + 1)}
+    return arcs | {(q, opener): (first, None) for q in (0, *range(first, last + 1))}
 
 
 def insults() -> Transducer:
-    """State 1 once an insult came; further ones add less."""
-    return {(0, INSULT): (1, 2.0), (1, INSULT): (1, 1.0)}
+    return {(0, INSULT): (0, BARE)}
 
 
 def threats() -> Transducer:
-    """A threat verb weighs little until a target follows it."""
-    return {(0, THREAT): (1, 0.25), (1, TARGET): (2, 1.5)}
+    """A threat, and a target at most GAP words after it."""
+    open_states = range(1, GAP + 1)
+    return _fading(THREAT) | {(q, THREAT): (1, THREATENS) for q in (0, *open_states)} | {(q, TARGET): (0, AIMED_THREAT) for q in open_states}
 
 
 def targets() -> Transducer:
-    """A target before an insult, or after one, is aimed at."""
-    return {(0, TARGET): (1, 0.0), (0, INSULT): (2, 0.0), (1, INSULT): (3, 0.5), (2, TARGET): (3, 0.5)}
+    """An insult at most GAP words after a target (states 1 to GAP), or before one (the states behind them)."""
+    after, before = range(1, GAP + 1), range(GAP + 1, 2 * GAP + 1)
+    arcs = _fading(TARGET) | {(q, OTHER): a for (q, symbol), a in _fading(INSULT, GAP + 1).items() if symbol == OTHER}
+    arcs |= {(q, INSULT): (q, AIMED) for q in after}
+    arcs |= {(0, INSULT): (GAP + 1, None)} | {(q, INSULT): (GAP + 1, None) for q in before}
+    return arcs | {(q, TARGET): (1, AIMED) for q in before}
 
 
 def negations() -> Transducer:
-    """A negation takes part of the weight of the next insult or threat."""
-    return {(0, NEGATION): (1, 0.0), (1, INSULT): (0, -0.75), (1, THREAT): (0, -0.25), (1, NEGATION): (0, 0.0)}
+    return _fading(NEGATION) | {(q, s): (0, NEGATED) for q in range(1, GAP + 1) for s in (INSULT, THREAT)}
 
 
 def reports() -> Transducer:
-    """What is reported weighs less, for the rest of the clause."""
-    return {(0, REPORT): (1, 0.0), (1, INSULT): (1, -0.75), (1, THREAT): (1, -0.25)}
+    """What is reported, for the rest of the clause."""
+    return {(0, REPORT): (1, None), (1, INSULT): (1, REPORTED), (1, THREAT): (1, REPORTED)}
 
 
-def compose(*parts: Transducer) -> tuple[np.ndarray, np.ndarray]:
-    """The product of transducers that read the same symbols: next state and weight by (state, symbol); 0 is the start.
+def compose(*parts: Transducer) -> tuple[list[list[int]], list[list[tuple[int, ...]]]]:
+    """The product of transducers that read the same symbols: next state and labels by state and symbol; 0 is the start.
 
-    A transducer without an arc for a symbol stays where it is, with weight 0.
+    A transducer without an arc for a symbol stays where it is and says nothing.
     """
-    states, todo = {(0,) * len(parts): 0}, [(0,) * len(parts)]
-    arcs: dict[tuple[int, int], tuple[int, float]] = {}
-    while todo:
-        state = todo.pop()
-        for symbol in range(6):
-            moves = [t.get((q, symbol), (q, 0.0)) for t, q in zip(parts, state, strict=True)]
-            to = tuple(q for q, _ in moves)
+    states, nexts, labels = {(0,) * len(parts): 0}, [], []
+    todo = list(states)
+    while len(nexts) < len(todo):
+        state = todo[len(nexts)]
+        moves = [[t.get((q, symbol), (q, None)) for t, q in zip(parts, state, strict=True)] for symbol in range(6)]
+        for arc in moves:
+            to = tuple(q for q, _ in arc)
             if to not in states:
                 states[to] = len(states)
                 todo.append(to)
-            arcs[states[state], symbol] = states[to], sum(w for _, w in moves)
-    nexts, weights = np.zeros((len(states), 6), np.int64), np.zeros((len(states), 6))
-    for (q, symbol), (to, w) in arcs.items():
-        nexts[q, symbol], weights[q, symbol] = to, w
-    return nexts, weights
+        nexts.append([states[tuple(q for q, _ in arc)] for arc in moves])
+        labels.append([tuple(x for _, x in arc if x is not None) for arc in moves])
+    return nexts, labels
 
 
 class Grammar:
-    def __init__(self, learned: dict[str, float] | None = None) -> None:
-        self.machine = [x.tolist() for x in compose(insults(), threats(), targets(), negations(), reports())]
+    def __init__(self, learned: dict[str, float] | None = None, weights: np.ndarray | None = None) -> None:
+        self.machine = compose(insults(), threats(), targets(), negations(), reports())
+        self.weights = np.array([*PRIOR, PRIOR_BIAS]) if weights is None else weights
         self.symbol = {w: s for s, text in SEEDS.items() for w in text.split()}
         for w in learned or {}:
             self.symbol.setdefault(w, INSULT)
         self.words = pa.array(list(self.symbol), pa.large_string())
         self.symbols = np.array(list(self.symbol.values()))
 
-    def clause_score(self, symbols: list[int]) -> float:
-        nexts, weights = self.machine
-        state, total = 0, 0.0
+    def path(self, symbols: list[int]) -> np.ndarray:
+        """How often each label stands on the path of a clause."""
+        nexts, labels = self.machine
+        state, counts = 0, np.zeros(len(LABELS), np.int64)
         for s in symbols:
-            total += weights[state][s]
+            for x in labels[state][s]:
+                counts[x] += 1
             state = nexts[state][s]
-        return max(0.0, total)
+        return counts
 
     def features(self, texts: pa.Array) -> np.ndarray:
-        """For each text the highest clause score, the sum of them, and the sum per hundred words, each damped by log."""
+        """For each text the damped counts of the labels of all its clauses, and the highest score of a clause."""
         distinct, index, bounds = split_words(texts)
         n = len(bounds) - 1
-        out = np.zeros((n, 3))
+        out = np.zeros((n, len(LABELS) + 1))
         if not len(index):
             return out
         place = pc.index_in(pc.utf8_trim(distinct, EDGES), value_set=self.words)
         symbol = np.append(self.symbols, OTHER)[pc.fill_null(place, len(self.symbols)).to_numpy(zero_copy_only=False)]
         closes = pc.is_in(pc.utf8_slice_codeunits(distinct, -1, None), value_set=pa.array(list(CLAUSE_END), pa.large_string())).to_numpy(zero_copy_only=False)
-        at = np.flatnonzero((symbol == INSULT)[index] | (symbol == THREAT)[index])
+        at = np.flatnonzero((symbol == INSULT)[index] | (symbol == THREAT)[index])  # other clauses have no labels
         if not len(at):
             return out
         ends = np.union1d(np.flatnonzero(closes[index]) + 1, bounds)  # a clause ends with its closing word or its text
         clauses = np.unique(np.searchsorted(ends, at, "right"))
         text_of = np.searchsorted(bounds, ends[clauses - 1], "right") - 1
         for c, t in zip(clauses.tolist(), text_of.tolist(), strict=True):
-            s = symbol[index[ends[c - 1] : ends[c]]]
-            score = self.clause_score(s[s != OTHER].tolist())
-            out[t, 0] = max(out[t, 0], score)
-            out[t, 1] += score
-        out[:, 2] = 100 * out[:, 1] / np.maximum(np.diff(bounds), 1)
-        return np.log1p(out)
+            counts = self.path(symbol[index[ends[c - 1] : ends[c]]].tolist())
+            out[t, :-1] += counts
+            out[t, -1] = max(out[t, -1], counts @ self.weights[:-1])
+        out[:, :-1] = np.log1p(out[:, :-1])
+        return out
+
+    def probability(self, features: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(features[:, : len(LABELS)] @ self.weights[:-1] + self.weights[-1], -50, 50)))
 
 
 def learn_insults(sample: DataFrame) -> dict[str, float]:
@@ -152,53 +174,55 @@ def learn_insults(sample: DataFrame) -> dict[str, float]:
     g2 = 2 * (part(b, a * share) + part(a - b, a * (1 - share)))
     # toxic in most of its rows, far beyond chance
     found = seen.where((b >= LEAST_ROWS) & (b > 0.75 * a) & (b > 2 * share * a)).select("word", g2.alias("g2")).where(F.col("g2") >= LEAST_G2)
-    return {r.word: r.g2 for r in found.orderBy(F.desc("g2"), "word").limit(LEXICON).collect()}
+    return {r.word: r.g2 for r in found.orderBy("word").collect()}  # words of at least LEAST_ROWS rows of the sample
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights and bias of a ridge logistic regression, by Newton steps; a fixed slope without both classes."""
+def fit_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The labels' weights and the bias by Newton steps of a logistic regression with a ridge around PRIOR."""
+    prior = np.array([*PRIOR, PRIOR_BIAS])
     if len(y) == 0 or y.min() == y.max():
-        return np.array([2.0, 0.0, 0.0, -3.0])
+        return prior
     a = np.concatenate([x, np.ones((len(x), 1))], 1)
-    w = np.zeros(a.shape[1])
-    ridge = np.diag([0.5, 0.5, 0.5, 1e-3])
+    w, ridge = prior.copy(), np.diag([RIDGE] * len(LABELS) + [1e-3])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        w -= np.linalg.solve(a.T @ (a * (p * (1 - p) + 1e-6)[:, None]) + ridge, a.T @ (p - y) + ridge @ w)
+        w -= np.linalg.solve(a.T @ (a * (p * (1 - p) + 1e-6)[:, None]) + ridge, a.T @ (p - y) + ridge @ (w - prior))
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], np.ndarray]:
-    """The learned insults and the logistic's weights."""
+Model = tuple[dict[str, float], np.ndarray]
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
+    """The learned insults, and the weights of the labels with the bias."""
     sample = materialize(labelled_sample(docs, labels, label, rows).select("doc_id", "text", "label"))
     learned = learn_insults(sample)
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(learned))
+    names = [f"x{i}" for i in range(len(LABELS))]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(pickle.loads(packed.value))
-        for batch in batches:
+        for batch in pieces(batches):
             x = grammar.features(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x[:, i]) for i in range(3))], names=["doc_id", "label", "a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(names)))], names=["doc_id", "label", *names])
 
-    rows_ = sorted(tuple(r) for r in sample.mapInArrow(measure, "doc_id long, label int, a double, b double, c double").collect())
-    x = np.array([r[2:] for r in rows_], np.float64).reshape(len(rows_), 3)
-    return learned, fit_logistic(x, np.array([r[1] for r in rows_], np.float64))
+    found = sample.mapInArrow(measure, "doc_id long, label int, " + ", ".join(f"{n} double" for n in names))
+    kept = sorted(tuple(r) for r in found.collect())  # at most the sample's rows
+    x = np.array([r[2:] for r in kept], np.float64).reshape(len(kept), len(names))
+    return learned, fit_weights(x, np.array([r[1] for r in kept], np.float64))
 
 
-def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted, top_clause for every text of docs (doc_id, text)."""
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned, w = pickle.loads(packed.value)
-        grammar = Grammar(learned)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(at, BATCH)
-                x = grammar.features(batch.column(1))
-                p = 1 / (1 + np.exp(-np.clip(x @ w[:3] + w[3], -50, 50)))
-                columns = [batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(np.expm1(x[:, 0]))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted", "top_clause"])
+        grammar = Grammar(*pickle.loads(packed.value))
+        for batch in pieces(batches):
+            x = grammar.features(batch.column(1))
+            p = grammar.probability(x)
+            columns = [batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(np.ascontiguousarray(x[:, -1]))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted", "top_clause"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(apply, "doc_id long, score double, predicted int, top_clause double")
 
