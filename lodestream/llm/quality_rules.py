@@ -6,7 +6,8 @@ one, or computing what a rule alone removes (ablation), is bitwise work on the l
 All of it is built-in functions; nothing is shuffled but the ablation's few sums.
 
 Defined cases: a null or empty text has no words, measures 0 everywhere and fails ``few_words``; texts of any length
-are measured whole; repeated rows each get their row; columns named like a measurement are replaced, others pass.
+are measured whole; repeated rows each get their row; an empty table gives none; of ``ledger``, columns named like a
+measurement or ``failures`` are replaced, others pass whatever their names; ``keep_good`` returns all as they came.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP, read, words
+from .common import ROW, WORD_GAP, carry, expand, read, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_upper", "n_repeat_words")
 #: Bit, name and failure condition of each rule; integers only, so that no rounding decides.
@@ -26,6 +27,7 @@ RULES: tuple[tuple[int, str, str], ...] = (
     (4, "shouting", "10 * n_upper > 3 * word_chars"),
     (5, "word_length", "word_chars < 2 * n_words or word_chars > 12 * n_words"),
 )
+SYMBOLS = "#*$%&|<>"
 POLICIES = {"base-1": ("few_words", "repeated_trigrams"), "standard-1": tuple(name for _, name, _ in RULES)}
 
 
@@ -39,37 +41,42 @@ def _windows(w: str) -> Column:
     return F.expr(f"transform(slice({w}, 1, greatest(size({w}) - 2, 0)), (x, i) -> xxhash64(x, {w}[i + 1], {w}[i + 2]))")
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the measurements of MEASURES to docs.
+def _measured(docs: DataFrame, text: str) -> DataFrame:
+    """The carried rows of docs with the measurements of MEASURES.
 
     n_repeat_words: windows are sorted with their positions; those equal to a neighbour repeat, and the words that the
     repeats cover are counted from the gaps between their positions. Texts without a repeat skip the sort.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
+    carried = carry(docs)
+    t = F.coalesce(F.col(ROW)[text], F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
-    first = docs.drop(*[m for m in MEASURES if m != text]).withColumns({"_w": words(F.col(text)), "_l": lines})
+    first = carried.withColumns({"_w": words(t), "_l": lines})
     second = first.withColumns({
         "n_words": F.size("_w").cast("long"),
         "word_chars": (F.char_length(t) - F.regexp_count(t, F.lit(WORD_GAP))).cast("long"),
-        "n_symbols": F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long"),
+        "n_symbols": (F.char_length(t) - F.char_length(F.translate(t, SYMBOLS, ""))).cast("long"),
         "n_lines": F.size("_l").cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
         "n_upper": F.regexp_count(t, F.lit(r"\p{Lu}")).cast("long"),
         "_h": _windows("_w"),
     }).drop("_w", "_l")
     third = second.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.expr("array_sort(transform(_h, (h, i) -> struct(h as h, i as i)))")))
-    near = "filter(_s, (x, k) -> x.h = _s[k + 1].h or (k > 0 and x.h = _s[k - 1].h))"
-    fourth = third.withColumn("_p", F.expr(f"sort_array(transform({near.replace('_s[k + 1].h', 'get(_s, k + 1).h').replace('_s[k - 1].h', 'get(_s, k - 1).h')}, x -> x.i))"))
+    repeats = "filter(_s, (x, k) -> x.h = get(_s, k + 1).h or (k > 0 and x.h = get(_s, k - 1).h))"
+    fourth = third.withColumn("_p", F.expr(f"sort_array(transform({repeats}, x -> x.i))"))
     covered = F.expr("aggregate(zip_with(_p, slice(_p, 2, greatest(size(_p), 1)), (a, b) -> least(3, coalesce(b - a, 3))), 0L, (s, x) -> s + x)")
     # a later filter on a measurement must not be pushed below it: its arrays would be computed anew inside the lambdas
     fifth = fourth.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_h", "_s", "_p")
     return fifth.withColumn("_at", F.monotonically_increasing_id()).where("_at >= 0").drop("_at")
 
 
+def _ledger(docs: DataFrame, text: str) -> DataFrame:
+    failures = " | ".join(f"if({condition}, {1 << bit}L, 0L)" for bit, _, condition in RULES)
+    return _measured(docs, text).withColumn("failures", F.expr(failures))
+
+
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with their measurements and ``failures``, the bits of the rules that they fail."""
-    failures = " | ".join(f"if({condition}, {1 << bit}L, 0L)" for bit, _, condition in RULES)
-    return measure(docs, text).withColumn("failures", F.expr(failures))
+    return expand(_ledger(docs, text), [*MEASURES, "failures"])
 
 
 def passes(policy: str) -> Column:
@@ -91,8 +98,7 @@ def ablations(rows: DataFrame, policy: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = "standard-1") -> DataFrame:
     """The rows of docs that pass the policy, with the columns of docs."""
-    columns = docs.columns
-    return ledger(docs.select("*", F.struct("*").alias("_row"))).where(passes(policy)).select("_row").select(*[F.col(f"_row.`{c}`") for c in columns])
+    return expand(_ledger(docs, "text").where(passes(policy)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
