@@ -8,7 +8,9 @@ into 1024 buckets per source: bucket sums decide for whole buckets, and only the
 cut falls into are ordered, so no task ever sorts a source; texts are never shuffled. Reruns agree: the hash depends on id and text alone.
 
 Defined cases: null texts have size 0, take 0 words and never change a sum; a null source is a source of its own, last
-in order; a source without words has target 0; repeated rows are documents of their own; an empty table gives no rows.
+in order; a source without words has target 0; repeated rows are documents of their own; ties of the hash are broken by
+doc_id and else taken together; an empty table gives no rows; columns of a caller pass whatever their names: ``mix``
+replaces those named size, source_size, target and reps, ``repeat_rows`` returns all as they came.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, read, words
+from .common import ROW, carry, expand, materialize, read, words
 
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (5, 2, 1), 1.5, 2.0, 17
 #: Up to so many sources their rows, some 100 bytes each, are broadcast.
 BROADCAST_SOURCES = 100_000
+BUCKET_BITS = 20
+ADDED = ("size", "source_size", "target", "reps")
 
 
 def cyclic_weights(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -49,15 +53,13 @@ def water_fill(sources: DataFrame, total: Column, max_epochs: float = MAX_EPOCHS
     return settled.withColumn("target", target).drop("cap", "ratio", "all_size", "total", "level", "capped", "final")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """Adds size, source_size, target and reps to docs: how often the mix takes each document.
-
-    docs has doc_id, text and source; columns of the added names are replaced.
-    """
-    sized = docs.drop("size", "source_size", "target", "reps").withColumn("size", F.size(words(F.col("text"))).cast("long"))
-    key = F.xxhash64(F.lit(seed), "doc_id", "text")
-    keyed = sized.withColumn("_key", key).withColumn("_bucket", F.shiftright("_key", 54))  # in the order of _key
-    narrow = keyed.select("doc_id", "source", "size", "_key", "_bucket")
+def _mixed(docs: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float, seed: int) -> DataFrame:
+    """The carried rows of docs with the columns of ADDED."""
+    row = F.col(ROW)
+    key = F.xxhash64(F.lit(seed), row["doc_id"], row["text"])
+    own = {"_doc": row["doc_id"], "_source": row["source"], "size": F.size(words(row["text"])).cast("long"), "_key": key}
+    keyed = carry(docs).withColumns(own).withColumn("_bucket", F.shiftright("_key", 64 - BUCKET_BITS))  # in the order of _key
+    narrow = keyed.select(F.col("_doc").alias("doc_id"), F.col("_source").alias("source"), "size", "_key", "_bucket")
     buckets = narrow.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
     per_source = buckets.groupBy("source").agg(F.sum("_words").alias("source_size"))
     filled = water_fill(cyclic_weights(per_source, weights), F.col("all_size") * F.lit(float(share)), max_epochs)
@@ -76,20 +78,26 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     at_cut = narrow.alias("d").join(sized_join(plan.alias("p")), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._bucket") == F.col("p._cut._bucket"))).select("d.*", F.col("_cut._left").alias("_left"))
     inside = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     taken = at_cut.withColumn("_run", F.sum("size").over(inside)).where("_run - size / 2 <= _left")
-    last = taken.groupBy("source").agg(F.max(F.struct("_key", "doc_id")).alias("_last"))
+    last = taken.groupBy("source").agg(F.max(F.struct("_key", F.col("doc_id").alias("_doc"))).alias("_last"))
     same = lambda df, name: df.withColumnRenamed("source", name)
     choice = filled.join(same(plan, "_s1"), F.col("source").eqNullSafe(F.col("_s1")), "left").join(same(last, "_s2"), F.col("source").eqNullSafe(F.col("_s2")), "left")
     choice = materialize(choice.select(F.col("source").alias("_s"), "source_size", "target", "_whole", "_full", "_cut", "_last"))
-    found = keyed.join(sized_join(choice), F.col("source").eqNullSafe(F.col("_s")))
+    found = keyed.join(sized_join(choice), F.col("_source").eqNullSafe(F.col("_s")))
     whole_bucket = F.coalesce(F.col("_bucket") <= F.col("_full"), F.lit(False))
-    in_cut = F.coalesce((F.col("_bucket") == F.col("_cut._bucket")) & (F.struct("_key", "doc_id") <= F.col("_last")), F.lit(False))
+    in_cut = F.coalesce((F.col("_bucket") == F.col("_cut._bucket")) & (F.struct("_key", "_doc") <= F.col("_last")), F.lit(False))
     reps = F.least(F.col("_whole") + F.when(whole_bucket | in_cut, 1).otherwise(0), F.lit(int(max_epochs)))
-    return found.withColumn("reps", reps.cast("int")).drop("_key", "_bucket", "_s", "_whole", "_full", "_cut", "_last")
+    return found.select(ROW, "size", "source_size", "target", reps.cast("int").alias("reps"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """Adds size, source_size, target and reps to docs (doc_id, text, source): how often the mix takes each document."""
+    return expand(_mixed(docs, weights, share, max_epochs, seed), ADDED)
 
 
-def repeat_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row of a mix as often as the mix takes it."""
-    return mixed.where("reps > 0").select(*[F.col(f"`{c}`") for c in columns], F.explode(F.sequence(F.lit(1), "reps")).alias("_rep")).drop("_rep")
+def repeat_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """Each row of docs as often as the mix takes it, with the columns of docs."""
+    mixed = _mixed(docs, weights, share, max_epochs, seed).where("reps > 0")
+    return expand(mixed.select(ROW, F.explode(F.sequence(F.lit(1), "reps"))).select(ROW))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
