@@ -1,26 +1,31 @@
-"""Language-model scoring: a log-bilinear model over word classes, trained by noise-contrastive estimation in numpy.
-
-Classes: the TOP most frequent words are classes of their own, the end of a text is one, and all other words fall into
-SUFFIXES classes by their last two characters. The model gives P(class | class before): the log-bilinear score of a
-class is r(context) C . q(class) + b(class). Within a suffix class a word has its discounted share of the class's
-counts; what the discount frees is the probability of a word of that class that training never saw. Products of
-the two sum to one over all known words, the unseen words of each class and the end.
-
-Training counts, over all texts of the training folds: words (a shuffle that pre-aggregates in the tasks) and pairs of
-classes (fixed in size). NCE fits the model to the pair counts with NOISE noise words a word, the noise distribution
-being the classes' shares; the expectation over noise is taken exactly, as all classes fit one matrix product. The
-scores are then normalised over all classes by batched matrix products.
-
-Scoring: the KNOWN most frequent words, with their counts, are broadcast (fixed in size); a text's other words leave the
-tasks as (row, word, times) and meet the counts in a join. Words and counts are exact, none is left out.
-
-Defined cases: null and empty texts are an end alone, after a start; texts are read whole; with no training text all
-words are unseen and classes equally likely; repeated rows each get their score; an empty table gives none; extra
-columns are not read; a null doc_id counts as the empty text in the fold.
+"""Language-model scoring: a log-bilinear model with a two-level softmax, trained by noise-contrastive estimation in numpy.
+
+Units: the EMBED * sqrt(types) most frequent words, tails (a hash class of the last two characters, one for every eight of
+those words) for all others, and the end of a text; their number grows with the corpus. Units stand in groups of
+about the square root of their number, by frequency. The log-bilinear context is h = r(word before) C1 + r(word before
+that) C2; P(unit) = softmax of h . q(group) + b(group) over the groups, times the softmax of h . q(unit) + b(unit) over
+the group's units, both normalised in full by batched matrix products. Biases are the logs of the unigram shares, so
+without embeddings the model is the unigram. In a tail, a known word has its discounted share of the tail's counts; what
+the discount frees is shared by the words that training never saw, of which UNSEEN for each known one are assumed. The
+probabilities of a context thus sum to one over the known words, those assumed unseen ones and the end.
+
+Training reads all texts of the training folds. Word counts are summed by Spark. Then every task runs NCE over its own
+tokens from common initial embeddings: for a minibatch, NOISE groups drawn from the groups' shares, and for each token
+NOISE_WORDS words drawn from its group's; Adagrad by row. The tasks' embeddings are averaged by Spark, each row weighted by
+the updates that it had, so every text takes part and nothing but embeddings reaches the driver.
+
+Scoring: the most frequent words, with their counts, are broadcast (KNOWN of them, or all units' words); a text's other
+words leave the tasks as (row, word, times) and meet the counts in a join. Words and counts are exact, none is left out.
+
+Defined cases: null and empty texts are an end alone, after a start; texts are read whole; with no training text all words
+are unseen and all units equally likely; equal counts at the edge of the units are all left out or, where nothing is
+more frequent, taken by word; repeated rows each get their score; an empty table gives none; extra columns are not read;
+a null doc_id counts as the empty text in the fold.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -31,120 +36,230 @@ from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrow_words import split_words
+from .arrow_words import pieces, split_words
 from .common import crc_fold, materialize, read
 
-TOP, SUFFIXES, KNOWN = 512, 128, 1 << 17
-DIMS, NOISE, STEPS, RATE, SEED = 24, 10, 250, 0.05, 3
-FOLDS, HELD_OUT, ADD, DISCOUNT, BATCH = 10, 0, 0.1, 0.6, 1_000
-START = END = TOP + SUFFIXES  # as a context the start, as an outcome the end
-CLASSES = END + 1
+EMBED, WORDS_A_TAIL, LEAST_TAILS, KNOWN = 8, 8, 16, 1 << 17
+DIMS, NOISE, NOISE_WORDS, MINIBATCH, RATE, SEED = 24, 32, 4, 4096, 0.1, 3
+FOLDS, HELD_OUT, ADD, DISCOUNT, UNSEEN, SCORED = 10, 0, 0.1, 0.6, 4, 1 << 14
 
 
-def suffix_classes(words: pa.Array) -> np.ndarray:
-    """The class of each word by its last two characters."""
+def tail_hashes(words: pa.Array) -> np.ndarray:
+    """31 bits of the last two characters of each word; modulo the number of tails they are its tail."""
     if not len(words):
         return np.zeros(0, np.int64)
     coded = pc.utf8_slice_codeunits(words, -2, None).dictionary_encode()
     keys = hash_array(coded.dictionary.to_numpy(zero_copy_only=False), hash_key="lodestream-tails", categorize=False)
-    return (TOP + (keys % np.uint64(SUFFIXES)).astype(np.int64))[coded.indices.to_numpy()]
-
-
-def word_classes(words: pa.Array, top: pa.Array) -> np.ndarray:
-    """The class of each word; top: the words that are classes of their own."""
-    place = pc.fill_null(pc.index_in(words, value_set=top), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.where(place >= 0, place, suffix_classes(words))
+    return (keys & np.uint64(0x7FFFFFFF)).astype(np.int64)[coded.indices.to_numpy()]
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """word, suffix class, count of the texts' words (a column text)."""
+    """word, tail hash, count of the texts' words (a column text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                distinct, index, _ = split_words(whole.column(0).slice(at, BATCH))
-                n = np.bincount(index, minlength=len(distinct))
-                words = distinct.take(pa.array(np.flatnonzero(n)))
-                yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(suffix_classes(words).astype(np.int32)), pa.array(n[n > 0])], names=["word", "suffix", "c"])
+        for batch in pieces(batches, text=0):
+            distinct, index, _ = split_words(batch.column(0))
+            n = np.bincount(index, minlength=len(distinct))
+            words = distinct.take(pa.array(np.flatnonzero(n)))
+            yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(tail_hashes(words).astype(np.int32)), pa.array(n[n > 0])], names=["word", "tail", "c"])
 
-    return texts.select("text").mapInArrow(count, "word string, suffix int, c long").groupBy("word").agg(F.min("suffix").alias("suffix"), F.sum("c").alias("c"))
+    return texts.select("text").mapInArrow(count, "word string, tail int, c long").groupBy("word").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
 
 
-def most_frequent(counts: DataFrame, most: int = KNOWN) -> DataFrame:
-    """The words of the highest counts, all of a count or none, at most ``most``; a window over distinct counts finds
-    the least of them, so that no task sends the driver more than it keeps."""
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, all of a count or none, at most ``most``; of the highest count alone, where more
+    than that have it, the first by word. The window is over the distinct counts, of which there are few."""
     ahead = Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = counts.groupBy("c").agg(F.count("*").alias("n")).withColumn("n", F.sum("n").over(ahead)).where(F.col("n") <= most).agg(F.min("c")).first()[0]
+    levels = counts.groupBy("c").agg(F.count("*").alias("n")).withColumn("n", F.sum("n").over(ahead))
+    top, cut = levels.agg(F.max("c"), F.min(F.when(F.col("n") <= most, F.col("c")))).first()
+    if cut is None and top is not None:
+        return counts.where(F.col("c") == top).orderBy("word").limit(most)
     return counts.where(F.col("c") >= cut) if cut is not None else counts.limit(0)
 
 
-def count_pairs(texts: DataFrame, top_words: list[str]) -> np.ndarray:
-    """CLASSES x CLASSES: how often each class follows each, with starts and ends."""
-    shared = texts.sparkSession.sparkContext.broadcast(top_words)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, total = pa.array(shared.value, pa.large_string()), np.zeros(CLASSES * CLASSES, np.int64)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                before, after, _ = transitions(whole.column(0).slice(at, BATCH), top)
-                total += np.bincount(before * CLASSES + after, minlength=CLASSES * CLASSES)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["cell", "n"])
-
-    sums = texts.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    counts = np.zeros(CLASSES * CLASSES)
-    for cell, n in sums.toLocalIterator():
-        counts[cell] = n
-    return counts.reshape(CLASSES, CLASSES)
-
-
-def transitions(texts: pa.Array, top: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The contexts and outcomes of all tokens of the texts, an end each included, and each text's bounds in them."""
-    distinct, index, bounds = split_words(texts)
+class Units:
+    """Words with embeddings of their own, tails and the end; groups of them by frequency."""
+
+    def __init__(self, words: list[str], counts: np.ndarray, tail_counts: np.ndarray, ends: int) -> None:
+        self.words, self.tails = words, len(tail_counts)
+        self.end = len(words) + self.tails
+        self.start = self.n = self.end + 1  # the start is a context, not an outcome
+        c = np.concatenate([counts, tail_counts, [ends]]) + ADD
+        order = np.argsort(-c, kind="stable")
+        self.size = math.isqrt(self.n - 1) + 1
+        self.rank = np.empty(self.n, np.int64)
+        self.rank[order] = np.arange(self.n)
+        self.group = self.rank // self.size
+        self.sums = np.concatenate([[0.0], np.cumsum(c[order])])  # by rank
+        self.order, self.edges = order, np.minimum(np.arange(self.groups + 1) * self.size, self.n)
+        mass = np.diff(self.sums[self.edges])
+        self.share = mass / mass.sum()
+        self.within = c / mass[self.group]
+
+    @property
+    def groups(self) -> int:
+        return -(-self.n // self.size)
+
+    def of(self, distinct: pa.Array) -> np.ndarray:
+        place = pc.fill_null(pc.index_in(distinct, value_set=pa.array(self.words, pa.large_string())), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        return np.where(place >= 0, place, len(self.words) + tail_hashes(distinct) % self.tails)
+
+
+def transitions(units: Units, distinct: pa.Array, index: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The word before each token, that before it, and the token, an end each included, as units; and each text's bounds in them."""
     n = len(bounds) - 1
-    of_word = word_classes(distinct, top)[index] if len(index) else np.zeros(0, np.int64)
-    after = np.full(len(of_word) + n, END, np.int64)
-    after[np.arange(len(of_word)) + np.repeat(np.arange(n), np.diff(bounds))] = of_word
+    own = units.of(distinct)[index] if len(index) else np.zeros(0, np.int64)
+    token = np.full(len(own) + n, units.end, np.int64)
+    token[np.arange(len(own)) + np.repeat(np.arange(n), np.diff(bounds))] = own
     edges = bounds + np.arange(n + 1)
-    before = np.empty_like(after)
-    before[1:] = after[:-1]
-    before[edges[:-1]] = START
-    return before, after, edges
+    before = np.empty_like(token)
+    before[1:] = token[:-1]
+    before[edges[:-1]] = units.start
+    far = np.empty_like(before)
+    far[1:] = before[:-1]
+    far[edges[:-1]] = units.start
+    return before, far, token, edges
+
+
+Parameters = dict[str, np.ndarray]
 
 
-def train(counts: np.ndarray) -> dict[str, np.ndarray]:
-    """The parameters of the log-bilinear model that NCE fits to the pair counts."""
+def initial(units: Units) -> Parameters:
     rng = np.random.default_rng(SEED)
-    n = counts.sum()
-    noise = (counts.sum(0) + 1) / (n + CLASSES)
-    joint = counts / max(n, 1)
-    context = joint.sum(1, keepdims=True)
-    p = {"r": rng.normal(0, 0.1, (CLASSES, DIMS)), "q": rng.normal(0, 0.1, (CLASSES, DIMS)), "c": np.eye(DIMS), "b": np.log(noise)}
-    m, v = ({k: np.zeros_like(w) for k, w in p.items()} for _ in range(2))
-    log_noise = np.log(NOISE * noise)
-    for step in range(1, STEPS + 1 if n else 1):
-        hidden = p["r"] @ p["c"]
-        data = 1 / (1 + np.exp(-np.clip(hidden @ p["q"].T + p["b"] - log_noise, -40, 40)))  # P(from the data)
-        # of sum joint log data + NOISE context noise log(1 - data), by the score
-        g = NOISE * context * noise * data - joint * (1 - data)
-        back = g @ p["q"]
-        grads = {"r": back @ p["c"].T, "q": g.T @ hidden, "c": p["r"].T @ back, "b": g.sum(0)}
-        rate = RATE * min(1, 2 * (1 - step / (STEPS + 1)))
-        for k, x in grads.items():
-            m[k] += 0.1 * (x - m[k])
-            v[k] += 0.01 * (x * x - v[k])
-            p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-9)
+    normal = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
+    return {"r": normal(units.n + 1, DIMS), "q": np.zeros((units.n, DIMS), np.float32), "g": np.zeros((units.groups, DIMS), np.float32), "c1": np.eye(DIMS, dtype=np.float32), "c2": 0.5 * np.eye(DIMS, dtype=np.float32)}
+
+
+class Trainer:
+    """Noise-contrastive estimation of the parameters over minibatches, with the number of updates of each row."""
+
+    def __init__(self, units: Units, seed: int) -> None:
+        self.units, self.p, self.rng = units, initial(units), np.random.default_rng([SEED, seed])
+        self.squares = {k: np.full(len(w), 1e-8, np.float32) for k, w in self.p.items()}
+        self.updates = {k: np.zeros(len(w), np.int64) for k, w in self.p.items()}
+        self.log_noise = (np.log(NOISE * units.share).astype(np.float32), np.log(NOISE_WORDS * units.within).astype(np.float32))
+        self.bias = (np.log(units.share).astype(np.float32), np.log(units.within).astype(np.float32))
+
+    def _add(self, name: str, rows: np.ndarray, gradient: np.ndarray) -> None:
+        """An Adagrad step of rows, which may repeat, up their summed gradients."""
+        order = np.argsort(rows, kind="stable")
+        used, first, count = np.unique(rows[order], return_index=True, return_counts=True)
+        total = np.add.reduceat(gradient[order], first, axis=0)
+        self.squares[name][used] += np.einsum("ij,ij->i", total, total)
+        self.p[name][used] += RATE * total / np.sqrt(self.squares[name][used])[:, None]
+        self.updates[name][used] += count
+
+    def step(self, before: np.ndarray, far: np.ndarray, token: np.ndarray) -> None:
+        p, units = self.p, self.units
+        one, two, own = p["r"][before], p["r"][far], units.group[token]
+        h = one @ p["c1"] + two @ p["c2"]
+        # groups: the token's own against NOISE that the minibatch shares
+        drawn = self.rng.choice(units.groups, NOISE, p=units.share)
+        error = -_sigmoid(h @ p["g"][drawn].T + (self.bias[0] - self.log_noise[0])[drawn])
+        right = 1 - _sigmoid(np.einsum("ij,ij->i", h, p["g"][own]) + (self.bias[0] - self.log_noise[0])[own])
+        back = error @ p["g"][drawn] + right[:, None] * p["g"][own]
+        of_groups = np.concatenate([error.T @ h, right[:, None] * h])
+        # words: the token against NOISE_WORDS of its group
+        low, high = units.sums[units.edges[own]], units.sums[units.edges[own + 1]]
+        at = low[:, None] + self.rng.random((len(token), NOISE_WORDS)) * (high - low)[:, None]
+        noise = units.order[np.clip(np.searchsorted(units.sums, at, "right") - 1, units.edges[own][:, None], units.edges[own + 1][:, None] - 1)]
+        rows = np.concatenate([token[:, None], noise], 1)
+        q = p["q"][rows]
+        g = -_sigmoid(np.einsum("ij,ikj->ik", h, q) + (self.bias[1] - self.log_noise[1])[rows])
+        g[:, 0] += 1
+        back += np.einsum("ik,ikj->ij", g, q)
+        of_words = (g[:, :, None] * h[:, None, :]).reshape(-1, DIMS)
+        steps = {"c1": one.T @ back, "c2": two.T @ back}
+        to_one, to_two = back @ p["c1"].T, back @ p["c2"].T
+        self._add("g", np.concatenate([drawn, own]), of_groups)
+        self._add("q", rows.ravel(), of_words)
+        self._add("r", np.concatenate([before, far]), np.concatenate([to_one, to_two]))
+        for name, gradient in steps.items():
+            self._add(name, np.arange(DIMS), gradient)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def train(texts: DataFrame, units: Units) -> Parameters:
+    """The average of what each task's pass over its texts makes of the initial parameters."""
+    packed = texts.sparkSession.sparkContext.broadcast(pickle.dumps(units))
+    names = [f"d{i}" for i in range(DIMS)]
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        units = pickle.loads(packed.value)
+        trainer = Trainer(units, TaskContext.get().partitionId())
+        for batch in pieces(batches, text=0):
+            before, far, token, _ = transitions(units, *split_words(batch.column(0)))
+            for at in range(0, len(token), MINIBATCH):
+                trainer.step(before[at : at + MINIBATCH], far[at : at + MINIBATCH], token[at : at + MINIBATCH])
+        for name, w in trainer.p.items():
+            n = trainer.updates[name]
+            used = np.flatnonzero(n)
+            rows = w[used] * n[used, None]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(used), pa.string()), pa.array(used), pa.array(n[used]), *(pa.array(np.ascontiguousarray(rows[:, i]), pa.float32()) for i in range(DIMS))], names=["name", "row", "n", *names])
+
+    sums = texts.select("text").mapInArrow(learn, "name string, row long, n long, " + ", ".join(f"{x} float" for x in names)).groupBy("name", "row")
+    p = initial(units)
+    for name, row, n, *total in sums.agg(F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in names]).toLocalIterator():
+        p[name][row] = np.array(total) / n
     return p
 
 
-def log_probabilities(p: dict[str, np.ndarray], batch: int = 256) -> np.ndarray:
-    """log10 P(class | context), normalised over all classes."""
-    out = np.empty((CLASSES, CLASSES))
-    for i in range(0, CLASSES, batch):
-        s = p["r"][i : i + batch] @ p["c"] @ p["q"].T + p["b"]
-        s -= s.max(1, keepdims=True)
-        out[i : i + batch] = s - np.log(np.exp(s).sum(1, keepdims=True))
-    return out / np.log(10)
+class Scorer:
+    """log10 P(unit | the two before), normalised."""
+
+    def __init__(self, units: Units, p: Parameters) -> None:
+        self.units, self.one, self.two = units, p["r"] @ p["c1"], p["r"] @ p["c2"]
+        self.g, self.g_bias = p["g"], np.log(units.share).astype(np.float32)
+        self.q, self.q_bias = p["q"][units.order], np.log(units.within[units.order]).astype(np.float32)  # by rank
+
+    def log10(self, before: np.ndarray, far: np.ndarray, token: np.ndarray) -> np.ndarray:
+        out = np.empty(len(token))
+        for i in range(0, len(token), SCORED):
+            part = slice(i, i + SCORED)
+            rank, group = self.units.rank[token[part]], self.units.group[token[part]]
+            h = self.one[before[part]] + self.two[far[part]]
+            found = _log_softmax(h @ self.g.T + self.g_bias, group)
+            order = np.argsort(group, kind="stable")
+            edges = np.searchsorted(group[order], np.arange(self.units.groups + 1))
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                rows, a, b = order[edges[k] : edges[k + 1]], self.units.edges[k], self.units.edges[k + 1]
+                found[rows] += _log_softmax(h[rows] @ self.q[a:b].T + self.q_bias[a:b], rank[rows] - a)
+            out[part] = found
+        return out / math.log(10)
+
+
+def _log_softmax(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log of the softmax of each row, at one column of it."""
+    top = scores.max(1)
+    return (scores[np.arange(len(at)), at] - top).astype(np.float64) - np.log(np.exp(scores - top[:, None]).sum(1, dtype=np.float64))
+
+
+def fit(training: DataFrame, counts: DataFrame) -> dict:
+    """What scoring needs: units, parameters, known words with counts, the tails' masses and kinds, N and V."""
+    ends = training.count()
+    n, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    embedded = math.ceil(EMBED * math.sqrt(types))
+    known = sorted(most_frequent(counts, max(KNOWN, embedded)).collect(), key=lambda r: (-r.c, r.word))
+    # all words of a count or none, as far as there is a choice
+    least = known[embedded].c if len(known) > embedded else 0
+    own = [r for r in known[:embedded] if r.c > least] or known[:embedded]
+    tails = max(LEAST_TAILS, embedded // WORDS_A_TAIL)
+    mass, kinds = np.zeros(tails), np.zeros(tails)
+    for t, c, k in counts.groupBy(F.pmod("tail", F.lit(tails))).agg(F.sum("c"), F.count("*")).collect():  # a row a tail
+        mass[t], kinds[t] = c, k
+    for r in own:
+        mass[r.tail % tails] -= r.c
+        kinds[r.tail % tails] -= 1
+    units = Units([r.word for r in own], np.array([r.c for r in own], np.float64), mass, ends)
+    return {
+        "units": units, "p": train(training, units), "words": [r.word for r in known], "c": np.array([r.c for r in known], np.float64), "mass": mass, "kinds": kinds, "ends": ends,
+        "tokens": n + ends, "types": types + bool(ends),
+    }
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -152,32 +267,21 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
     training = rows.where("not held_out").select("text")
     counts = materialize(count_words(training))
-    sums = {r[0]: r[1:] for r in counts.groupBy("suffix").agg(F.sum("c"), F.count("*")).collect()}  # a row a suffix class
-    ends = training.count()
-    n, types = sum(x[0] for x in sums.values()) + ends, sum(x[1] for x in sums.values()) + bool(ends)
-    known = sorted(most_frequent(counts).collect(), key=lambda r: (-r.c, r.word))
-    top_words = [r.word for r in known[:TOP]]
-    # what the suffix classes hold besides the words that are classes of their own
-    mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for s, (c, k) in sums.items():
-        mass[s], kinds[s] = c, k
-    for r in known[:TOP]:
-        mass[r.suffix] -= r.c
-        kinds[r.suffix] -= 1
-    table = log_probabilities(train(count_pairs(training, top_words))).astype(np.float32)
-    model = {"words": [r.word for r in known], "c": np.array([r.c for r in known], np.float64), "table": table, "mass": mass, "kinds": kinds, "ends": ends}
+    model = fit(training, counts)
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    pieces = materialize(rows.mapInArrow(_scorer(packed), "row long, doc_id long, held_out boolean, word string, class int, n long, known long, base double, score double"))
-    own = pieces.where("word is null").select("row", "doc_id", "held_out", "n", "known", "base", "score")
-    apart = pieces.where("word is not null").select("row", "word", "class", F.col("n").alias("times"))
-    within = own.sparkSession.createDataFrame([(s, float(mass[s]), float(kinds[s])) for s in range(TOP, END)], "class int, mass double, kinds double")
-    joined = apart.join(counts.select("word", "c"), "word", "left").join(F.broadcast(within), "class")
-    share = F.when(F.col("c").isNotNull(), F.log10(F.col("c") - DISCOUNT) - F.log10("mass")).when(F.col("mass") > 0, F.log10(DISCOUNT * F.col("kinds")) - F.log10("mass")).otherwise(0.0)
-    found = joined.groupBy("row").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("more"), F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + ADD)).alias("more_base"), F.sum(F.col("times") * share).alias("more_score"))
+    found = materialize(rows.mapInArrow(_scorer(packed), "row long, doc_id long, held_out boolean, word string, tail int, n long, known long, base double, score double"))
+    own = found.where("word is null").select("row", "doc_id", "held_out", "n", "known", "base", "score")
+    apart = found.where("word is not null").select("row", "word", "tail", F.col("n").alias("times"))
+    tails = own.sparkSession.createDataFrame([(i, float(m), float(k)) for i, (m, k) in enumerate(zip(model["mass"], model["kinds"], strict=True))], "tail int, mass double, kinds double")
+    joined = apart.join(counts.select("word", "c"), "word", "left").join(F.broadcast(tails), "tail")
+    share = F.when(F.col("c").isNotNull(), F.col("c") - DISCOUNT).otherwise((DISCOUNT * F.col("kinds") + ADD) / (UNSEEN * F.col("kinds") + 1))
+    share = F.log10(share) - F.log10(F.col("mass") + ADD)
+    more = joined.groupBy("row").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("more"), F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + ADD)).alias("more_base"), F.sum(F.col("times") * share).alias("more_score"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return own.join(found, "row", "left").select(
-        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + zero("more")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("more_base") - F.col("n") * F.lit(float(np.log10(n + ADD * (types + 1))))).alias("base_score"), (F.col("score") + zero("more_score")).alias("score"),
+    all_log = F.lit(math.log10(model["tokens"] + ADD * (model["types"] + 1)))
+    return own.join(more, "row", "left").select(
+        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + zero("more")).alias("n_known"), F.lit(model["tokens"]).cast("long").alias("train_tokens"),
+        (F.col("base") + zero("more_base") - F.col("n") * all_log).alias("base_score"), (F.col("score") + zero("more_score")).alias("score"),
     )
 
 
@@ -186,39 +290,37 @@ def _scorer(packed):
         from pyspark import TaskContext
 
         m = pickle.loads(packed.value)
-        words, c, table = pa.array(m["words"], pa.large_string()), np.append(m["c"], 0.0), m["table"]
-        top, row = words.slice(0, TOP), TaskContext.get().partitionId() << 40
+        units, scorer = m["units"], Scorer(m["units"], m["p"])
+        words, c = pa.array(m["words"], pa.large_string()), np.append(m["c"], 0.0)
+        own_words, row = len(units.words), TaskContext.get().partitionId() << 40
         end = (np.log10(m["ends"] + ADD), 1) if m["ends"] else (np.log10(ADD), 0)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(at, BATCH)
-                distinct, index, bounds = split_words(batch.column(1))
-                n = batch.num_rows
-                text = np.repeat(np.arange(n), np.diff(bounds))
-                place = pc.fill_null(pc.index_in(distinct, value_set=words), len(words)).to_numpy(zero_copy_only=False)
-                is_known, classes = place < len(words), word_classes(distinct, top)
-                base = np.where(is_known, np.log10(c[place] + ADD), 0.0)
-                inner = np.where(is_known & (classes >= TOP), np.log10(np.maximum(c[place] - DISCOUNT, 1e-9)) - np.log10(np.maximum(m["mass"][classes], 1e-9)), 0.0)
-                before, after, edges = transitions(batch.column(1), top)
-                path = np.add.reduceat(table[before, after].astype(np.float64), edges[:-1])
-                per_text = lambda x: np.bincount(text, weights=x[index], minlength=n) if len(index) else np.zeros(n)  # noqa: E731, B023
-                ids = row + np.arange(n)
-                columns = [ids, batch.column(0), batch.column(2), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), np.diff(bounds) + 1, per_text(is_known.astype(float)).astype(np.int64) + end[1], per_text(base) + end[0], path + per_text(inner)]
-                yield _rows(columns)
-                row += n
-                far = np.flatnonzero(~is_known[index]) if len(index) else np.zeros(0, np.int64)
-                if len(far):
-                    codes, times = np.unique(text[far] * np.int64(len(distinct)) + index[far], return_counts=True)
-                    t, w = codes // len(distinct), codes % len(distinct)
-                    k = len(codes)
-                    yield _rows([ids[t], pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), distinct.take(pa.array(w)).cast(pa.string()), pa.array(classes[w].astype(np.int32)), times, pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())])
+        for batch in pieces(batches):
+            distinct, index, bounds = split_words(batch.column(1))
+            n = batch.num_rows
+            text = np.repeat(np.arange(n), np.diff(bounds))
+            place = pc.fill_null(pc.index_in(distinct, value_set=words), len(words)).to_numpy(zero_copy_only=False)
+            is_known, tail = place < len(words), tail_hashes(distinct) % units.tails
+            base = np.where(is_known, np.log10(c[place] + ADD), 0.0)
+            inner = np.where(is_known & (place >= own_words), np.log10(np.maximum(c[place] - DISCOUNT, 1e-9)) - np.log10(m["mass"][tail] + ADD), 0.0)
+            before, far, token, edges = transitions(units, distinct, index, bounds)
+            path = np.add.reduceat(scorer.log10(before, far, token), edges[:-1])
+            per_text = lambda x: np.bincount(text, weights=x[index], minlength=n) if len(index) else np.zeros(n)  # noqa: E731, B023
+            ids = row + np.arange(n)
+            yield _rows([ids, batch.column(0), batch.column(2), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), np.diff(bounds) + 1, per_text(is_known.astype(float)).astype(np.int64) + end[1], per_text(base) + end[0], path + per_text(inner)])
+            row += n
+            apart = np.flatnonzero(~is_known[index]) if len(index) else np.zeros(0, np.int64)
+            if len(apart):
+                codes, times = np.unique(text[apart] * np.int64(len(distinct)) + index[apart], return_counts=True)
+                t, w = codes // len(distinct), codes % len(distinct)
+                k = len(codes)
+                yield _rows([ids[t], pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), distinct.take(pa.array(w)).cast(pa.string()), pa.array(tail[w].astype(np.int32)), times, pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())])
 
     return apply
 
 
 def _rows(columns: list) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    names = ["row", "doc_id", "held_out", "word", "class", "n", "known", "base", "score"]
+    names = ["row", "doc_id", "held_out", "word", "tail", "n", "known", "base", "score"]
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
 
 
