@@ -3,20 +3,24 @@
 Texts and items are sequences of words (A-Z lower-cased, punctuation at word edges left out). An item of n words has
 leaked into a text that holds a passage within k = n // 5 word edits of it.
 
-1. Of k + 1 pieces of an item, k edits leave one whole: only windows around a whole piece can match (nothing is lost),
-   and only those are embedded. They lie where the piece puts the item, as many words long as it.
+1. Windows of n words of a text, for every length n of an item. Of k + 1 pieces of an item, k edits leave one whole, so
+   windows that hold no piece of any item of their length where that item would have it can't match: they are passed
+   over. This filter loses nothing; it says that a window is worth embedding, not which item it may be.
 2. The Cormode-Ganesh-Kuszmaul walk copies the window's current word to the output and steps ahead by a random bit of
-   word and time, for three times the window's length: few edits become few differences of position. Each of REPEATS
-   walks samples DRAWS positions of the output (as shares of its length); windows that agree with their item on all
-   draws of a walk are candidates. Walks that meet again agree on most positions, so the chance of missing a passage,
-   a power of REPEATS, stays under one in a hundred at k edits; the tests measure it.
+   word and time: few edits become few differences of position. Each of REPEATS walks samples DRAWS of the first
+   STRETCH n positions, where walks still read words; a walk's sample is a bucket. A window and an item of its length
+   that meet in a bucket are a candidate pair, whatever piece led to the window; nothing else makes candidates. Samples
+   of a walk that has left the window, or read a word that no item has, are no bucket. At k edits the share of passages
+   that meet their item is over nine in ten for each kind of edit; the tests measure it.
 3. Sellers' alignment of the item against the window with k words more on either side gives the exact edit distance.
 
-Items are broadcast in blocks of at most BLOCK_WORDS words; a larger benchmark takes several passes over the texts.
-Only matches leave the tasks: no shuffle of texts, pairs or windows.
+Items are broadcast in blocks of at most BLOCK_WORDS words (or one longer item); a larger benchmark takes several
+passes over the texts. Items and windows are worked on by length, without padding. Only matches leave the tasks: no
+shuffle of texts, pairs or windows.
 
 Defined cases: null and empty texts or items match nothing; a null item_id stays null; repeated rows give repeated
-matches; an empty table gives none; very long texts are searched whole; extra columns pass through ``clean``.
+matches; an empty table gives none; very long texts are searched whole; of equally near places of an item the first
+counts; ``clean`` judges the rows of one doc_id together, and extra columns pass through it whatever their names.
 """
 
 from __future__ import annotations
@@ -30,11 +34,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow_words import hash_words, mix, split_words
+from .arrow_words import hash_words, mix, pieces, split_words
 from .common import read, without_ids, words
 
-EDIT_SHARE, REPEATS, DRAWS, STRETCH, SEED = 5, 24, 2, 3, 7
-BLOCK_WORDS, BATCH, WINDOWS = 2_000_000, 2_000, 512
+EDIT_SHARE, REPEATS, DRAWS, STRETCH, SEED = 5, 64, 3, 1.6, 7
+#: Words of items that are broadcast at once, and words of windows that are embedded or aligned at once.
+BLOCK_WORDS, WINDOW_WORDS = 2_000_000, 1 << 15
 PUNCTUATION = ".,;:!?\"'()[]"
 MATCH = "doc_id long, item_id long, at_word long, n_words int, distance int"
 
@@ -52,56 +57,68 @@ def _distinct(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 class Items:
-    """Benchmark items as sequences of numbered words, their pieces, and their embeddings."""
+    """Benchmark items as sequences of numbered words, their pieces, and the buckets of their embeddings."""
 
     def __init__(self, ids: list[int | None], texts: list[str | None]) -> None:
         flat, bounds = symbols(pa.array(texts, pa.large_string()))
         self.vocabulary, numbers = np.unique(flat, return_inverse=True)
         rows = [(i, numbers[a:b].astype(np.int32) + 1) for i, a, b in zip(ids, bounds[:-1], bounds[1:], strict=True) if b > a]
-        self.ids = [i for i, _ in rows]
-        self.n = np.array([len(w) for _, w in rows], np.int64)
+        self.ids, self.words = [i for i, _ in rows], [w for _, w in rows]
+        self.n = np.array([len(w) for w in self.words], np.int64)
         self.k = self.n // EDIT_SHARE
-        self.most = int(self.n.max(initial=1))
-        self.word = np.zeros((len(rows), self.most), np.int32)
-        pieces = defaultdict(list)
-        for item, (_, w) in enumerate(rows):
-            self.word[item, : len(w)] = w
-            size = len(w) // (int(self.k[item]) + 1)
-            for p in range(int(self.k[item]) + 1):
-                pieces[size].append((_sequence(w[p * size : (p + 1) * size]), item, p * size))
-        #: by piece size: sorted hashes, items and places of the pieces
-        self.pieces = {}
-        for size, found in pieces.items():
-            found.sort()
-            self.pieces[size] = (np.array([x[0] for x in found], np.uint64), np.array([x[1] for x in found]), np.array([x[2] for x in found]))
-        rng = np.random.default_rng(SEED)
-        self.step = rng.integers(0, 1 << 63, (REPEATS, STRETCH * self.most), dtype=np.uint64) | np.uint64(1)
-        self.draw = rng.random((REPEATS, DRAWS))
-        self.keys = self.embed(self.word, self.n) if rows else np.zeros((0, REPEATS), np.uint64)
-
-    def embed(self, windows: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """The LSH keys of windows (rows of words, 0 for those that no item has) of n words each: one for each walk."""
-        rows = np.arange(len(windows))[:, None]
-        padded = np.concatenate([windows, np.full((len(windows), 1), -1, windows.dtype)], 1)
-        at = np.zeros((len(windows), REPEATS), np.int64)
-        wanted = (self.draw[None] * (STRETCH * n)[:, None, None]).astype(np.int64)
-        key = np.zeros((len(windows), REPEATS), np.uint64)
-        end = n[:, None]
-        for j in range(STRETCH * int(n.max())):
-            symbol = np.where(at < end, padded[rows, np.minimum(at, padded.shape[1] - 1)], -1)
-            for d in range(DRAWS):
-                hit = wanted[:, :, d] == j
-                if hit.any():
-                    key[hit] += mix((symbol[hit] + 2).astype(np.uint64) * np.uint64(DRAWS) + np.uint64(d))
-            bit = ((symbol + 2).astype(np.uint64) * self.step[:, j]) >> np.uint64(63)
-            at += bit.astype(np.int64)
-        return key
+        found = defaultdict(set)
+        for n, w in zip(self.n.tolist(), self.words, strict=True):
+            parts = n // EDIT_SHARE + 1
+            size = n // parts
+            for p in range(parts):
+                found[size].add((_sequence(w[p * size : (p + 1) * size]), n, p * size))
+        #: by piece size: sorted hashes, and the lengths of the items and the places in them that the pieces have
+        self.pieces = {size: tuple(np.array(x, t) for x, t in zip(zip(*sorted(f), strict=True), (np.uint64, np.int64, np.int64), strict=True)) for size, f in found.items()}
+        self.draw = np.random.default_rng(SEED).random((REPEATS, DRAWS))
+        buckets, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for n in np.unique(self.n).tolist():
+            own = np.flatnonzero(self.n == n)
+            for at in range(0, len(own), max(1, WINDOW_WORDS // n)):
+                part = own[at : at + max(1, WINDOW_WORDS // n)]
+                item, key = self.embed(np.stack([self.words[i] for i in part]))
+                buckets.append(key)
+                owners.append(part[item])
+        self.buckets, self.owners = np.concatenate(buckets), np.concatenate(owners)
+        order = np.argsort(self.buckets, kind="stable")
+        self.buckets, self.owners = self.buckets[order], self.owners[order]
+
+    def embed(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, bucket) of windows of one length, rows of numbered words; 0 is a word of no item, -1 none at all."""
+        count, n = windows.shape
+        rows = np.arange(count)[:, None]
+        padded = np.concatenate([windows, np.full((count, 1), -1, windows.dtype)], 1)
+        wanted = (self.draw * (STRETCH * n)).astype(np.int64)
+        at, walks = np.zeros((count, REPEATS), np.int64), np.arange(REPEATS, dtype=np.uint64)
+        key, whole = np.broadcast_to(mix(walks + np.uint64(n * REPEATS)), (count, REPEATS)).copy(), np.ones((count, REPEATS), bool)
+        for j in range(int(wanted.max()) + 1):
+            symbol = padded[rows, np.minimum(at, n)]
+            for walk, draw in zip(*np.nonzero(wanted == j), strict=True):
+                read = symbol[:, walk]
+                key[:, walk] += mix(read.astype(np.uint64) * np.uint64(DRAWS) + np.uint64(draw + 1))
+                whole[:, walk] &= read > 0
+            step = mix(walks * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j)) | np.uint64(1)
+            at += (((symbol + 2).astype(np.uint64) * step) >> np.uint64(63)).astype(np.int64)
+        window, walk = np.nonzero(whole)
+        return window, mix(key[window, walk])
+
+    def candidates(self, windows: np.ndarray) -> np.ndarray:
+        """Distinct (window, item) that share a bucket, of windows of one length."""
+        window, key = self.embed(windows)
+        low, high = np.searchsorted(self.buckets, key, "left"), np.searchsorted(self.buckets, key, "right")
+        count = high - low
+        item = self.owners[np.arange(count.sum()) + np.repeat(low - (np.cumsum(count) - count), count)]
+        return np.unique(np.stack([np.repeat(window, count), item], 1), axis=0)
 
     def windows(self, number: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """(text, item, start) of the windows that a whole piece puts an item in; start is a place in number."""
+        """(length, text, start) of the windows that hold a piece in its place; start is a place in number."""
         found = []
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        for size, (keys, items, places) in self.pieces.items():
+        for size, (keys, lengths, places) in self.pieces.items():
             if len(number) < size:
                 continue
             known = number > 0
@@ -119,28 +136,24 @@ class Items:
             count = (high - low)[hit]
             piece = np.arange(count.sum()) + np.repeat(low[hit] - (np.cumsum(count) - count), count)
             at = np.repeat(at[hit], count)
-            found.append(np.stack([text[at], items[piece], at - places[piece]], 1))
+            found.append(np.stack([lengths[piece], text[at], at - places[piece]], 1))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
     def matches(self, number: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """(text, item, first word, distance) of the best place of each item in each text."""
-        number, out = number.astype(np.int32), []
+        number, out = number.astype(np.int32), [np.zeros((0, 4), np.int64)]
         windows = self.windows(number, bounds)
-        for i in range(0, len(windows), WINDOWS):
-            text, item, start = windows[i : i + WINDOWS].T
-            # a window reaches k words past the ends of its item's place, but not past the text's
-            n, k = self.n[item], self.k[item]
-            block = _take(number, start, n, self.most, bounds[text], bounds[text + 1])
-            alike = (self.embed(block, n) == self.keys[item]).any(1)
-            text, item, start, n, k = (x[alike] for x in (text, item, start, n, k))
-            if not len(text):
-                continue
-            wide = _take(number, start - k, n + 2 * k, self.most + 2 * int(self.k.max()), bounds[text], bounds[text + 1])
-            distance = edit_distances(self.word[item], n, wide)
-            near = distance <= k
-            out.append(np.stack([text, item, np.maximum(start - bounds[text], 0), distance], 1)[near])
-        if not out:
-            return np.zeros((0, 4), np.int64)
+        for n in np.unique(windows[:, 0]).tolist():
+            own, k, most = windows[windows[:, 0] == n, 1:], n // EDIT_SHARE, max(1, WINDOW_WORDS // n)
+            for i in range(0, len(own), most):
+                text, start = own[i : i + most].T
+                window, item = self.candidates(_take(number, start, n, bounds[text], bounds[text + 1])).T
+                for c in range(0, len(item), most):
+                    w, it = window[c : c + most], item[c : c + most]
+                    # the passage may reach k words past the ends of its window, but not past the text's
+                    wide = _take(number, start[w] - k, n + 2 * k, bounds[text[w]], bounds[text[w] + 1])
+                    distance = edit_distances(np.stack([self.words[x] for x in it]), np.full(len(it), n), wide)
+                    out.append(np.stack([text[w], it, np.maximum(start[w] - bounds[text[w]], 0), distance], 1)[distance <= k])
         rows = np.concatenate(out)
         rows = rows[np.lexsort((rows[:, 2], rows[:, 3], rows[:, 1], rows[:, 0]))]
         first = np.ones(len(rows), bool)
@@ -158,10 +171,10 @@ def _sequence(w: np.ndarray) -> int:
     return int(mix(total)[0])
 
 
-def _take(number: np.ndarray, start: np.ndarray, n: np.ndarray, most: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Rows of n words from start on, filled up to most; -1 where a row leaves its text."""
-    at = start[:, None] + np.arange(most)
-    inside = (at >= low[:, None]) & (at < high[:, None]) & (np.arange(most) < n[:, None])
+def _take(number: np.ndarray, start: np.ndarray, n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Rows of n words from start on; -1 where a row leaves its text."""
+    at = start[:, None] + np.arange(n)
+    inside = (at >= low[:, None]) & (at < high[:, None])
     return np.where(inside, number[np.clip(at, 0, max(0, len(number) - 1))], -1)
 
 
@@ -220,9 +233,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def search(batches: Iterator[pa.RecordBatch], packed=packed) -> Iterator[pa.RecordBatch]:
             items = _items(packed.value)
-            for whole in batches:
-                for at in range(0, whole.num_rows, BATCH):
-                    yield _leaks(items, whole.slice(at, BATCH))
+            for batch in pieces(batches):
+                yield _leaks(items, batch)
 
         found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(search, MATCH)
         out = found if out is None else out.union(found)
