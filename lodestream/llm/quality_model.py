@@ -1,16 +1,18 @@
 """Quality classifier: random-indexing word vectors pooled per document, and a two-layer network with a temperature.
 
-Random indexing: every word form has a sparse ternary index vector, drawn by hash; its word vector is the sum of its
-neighbours' index vectors over all documents, two words to either side. Short words are forms of their own; longer
-ones share the form of their shape (case, first and last characters, length), so that no vocabulary has to be kept:
-FORMS vectors of DIMS numbers are summed in the tasks, then by Spark. A document's vector is the mean of its words'
-vectors, once over all words and once over its distinct ones, beside its length and how often its words repeat.
+Random indexing: every word has a sparse ternary index vector, drawn by hash; a vector is the sum of the index vectors
+of its neighbours over all documents, two words to either side. A word has two such vectors: that of its own slot, one
+of WORDS by hash, and that of its shape (itself if it is short, else case, length and last two characters), one of
+SHAPES, which serves words too rare for a good vector of their own. The tables are fixed in size, summed in the tasks,
+then by Spark. A document's vector is the mean of its words' vectors, once over all words and once over its distinct
+ones; four numbers on length and repetition stand beside them. The README has the accuracy without those four.
 
 The network (one hidden layer, numpy, Adam) learns from a bounded sample of labelled rows outside the held-out fold;
 a fifth of them is kept aside to fit the temperature by which its logits are divided.
 
 Defined cases: null and empty texts pool to zeros and are scored like any other; texts are read whole; without labels
-every score is 0.5; repeated rows each get their score; an empty table gives none; extra columns are not read.
+every score is 0.5, with those of one class all are alike; repeated rows each get their score; of a doc_id labelled
+twice the larger label counts; an empty table gives none; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,85 +27,85 @@ from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow_words import split_words
+from .arrow_words import pieces, split_words
 from .common import read
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 
-FORMS, DIMS, NONZERO, REACH, HIDDEN, STEPS, SEED = 1 << 13, 32, 4, 2, 32, 4_000, 5
-THRESHOLD, BATCH = 0.7, 1_000
-FEATURES = 2 * DIMS + 4
+WORDS, SHAPES, DIMS, NONZERO, REACH, HIDDEN, STEPS, SEED = 1 << 14, 1 << 13, 48, 4, 2, 32, 4_000, 5
+THRESHOLD, ASIDE = 0.7, 4
+FEATURES = 4 * DIMS + ASIDE
 
 
-def forms(words: pa.Array) -> np.ndarray:
-    """The form of each distinct word: itself if it is short, else its shape."""
-    if not len(words):
+def _slots(keys: pa.Array, seed: str, slots: int) -> np.ndarray:
+    if not len(keys):
         return np.zeros(0, np.int64)
+    coded = keys.dictionary_encode()
+    return (hash_array(coded.dictionary.to_numpy(zero_copy_only=False), hash_key=seed, categorize=False) % np.uint64(slots)).astype(np.int64)[coded.indices.to_numpy()]
+
+
+def slots(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct word its own slot, and that of its shape, which stands behind the WORDS of the first kind."""
     n = pc.utf8_length(words)
     case = pc.if_else(pc.utf8_is_lower(words), "l", pc.if_else(pc.utf8_is_upper(words), "u", pc.if_else(pc.utf8_is_title(words), "t", "m")))
     case, size = case.cast(pa.large_string()), pc.min_element_wise(n, pa.scalar(12, n.type)).cast(pa.large_string())
     shape = pc.binary_join_element_wise(case, size, pc.utf8_slice_codeunits(words, -2, None), pa.scalar("\t", pa.large_string()))
-    form = pc.if_else(pc.less_equal(n, 4), words, shape)
-    coded = form.dictionary_encode()
-    keys = hash_array(coded.dictionary.to_numpy(zero_copy_only=False), hash_key="lodestream-forms", categorize=False)
-    return (keys % np.uint64(FORMS)).astype(np.int64)[coded.indices.to_numpy()]
+    return _slots(words, "lodestream-words", WORDS), WORDS + _slots(pc.if_else(pc.less_equal(n, 4), words, shape), "lodestream-forms", SHAPES)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """For every form the places and signs of its index vector's non-zero numbers."""
+    """For every word slot the places and signs of its index vector's non-zero numbers."""
     rng = np.random.default_rng(SEED)
-    return rng.integers(0, DIMS, (FORMS, NONZERO)), rng.choice([-1.0, 1.0], (FORMS, NONZERO))
+    return rng.integers(0, DIMS, (WORDS, NONZERO)), rng.choice([-1.0, 1.0], (WORDS, NONZERO))
 
 
 def neighbour_sums(texts: pa.Array) -> np.ndarray:
-    """FORMS x DIMS: the sums of the index vectors of each form's neighbours in these texts."""
+    """(WORDS + SHAPES) x DIMS: the sums of the index vectors of each slot's neighbours in these texts."""
     distinct, index, bounds = split_words(texts, lower=False)
-    form = forms(distinct)[index] if len(index) else np.zeros(0, np.int64)
+    word, shape = (x[index] for x in slots(distinct)) if len(index) else (np.zeros(0, np.int64),) * 2
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     places, signs = index_vectors()
-    total = np.zeros(FORMS * DIMS)
+    total = np.zeros((WORDS + SHAPES) * DIMS)
     for d in range(1, REACH + 1):
-        same = text[d:] == text[:-d]
-        a, b = form[:-d][same], form[d:][same]
-        for x, y in ((a, b), (b, a)):
-            codes, counts = np.unique(x * FORMS + y, return_counts=True)
-            mine, other = codes // FORMS, codes % FORMS
+        same = np.flatnonzero(text[d:] == text[:-d])
+        for mine, other in ((same, same + d), (same + d, same)):
+            both, near = np.concatenate([word[mine], shape[mine]]) * DIMS, word[other]
             for i in range(NONZERO):
-                total += np.bincount(mine * DIMS + places[other, i], weights=signs[other, i] * counts, minlength=FORMS * DIMS)
-    return total.reshape(FORMS, DIMS)
+                total += np.bincount(both + np.tile(places[near, i], 2), weights=np.tile(signs[near, i], 2), minlength=len(total))
+    return total.reshape(-1, DIMS)
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """The random-indexing vectors of all forms over all texts of docs, scaled to length 1; fixed in size."""
+    """The random-indexing vectors of all slots over all texts of docs, scaled to length 1; fixed in size."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((FORMS, DIMS))
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                total += neighbour_sums(whole.column(0).slice(at, BATCH))
+        total = np.zeros((WORDS + SHAPES, DIMS))
+        for batch in pieces(batches, text=0):
+            total += neighbour_sums(batch.column(0))
         used = np.flatnonzero(np.abs(total).sum(1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(np.ascontiguousarray(total[used, i])) for i in range(DIMS))], names=["form", *names])
+        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[used, i].astype(np.float32)) for i in range(DIMS))], names=["slot", *names])
 
     names = [f"d{i}" for i in range(DIMS)]
-    sums = docs.select("text").mapInArrow(gather, "form long, " + ", ".join(f"{n} double" for n in names)).groupBy("form").agg(*[F.sum(n).alias(n) for n in names])
-    vectors = np.zeros((FORMS, DIMS))
+    sums = docs.select("text").mapInArrow(gather, "slot long, " + ", ".join(f"{n} float" for n in names)).groupBy("slot").agg(*[F.sum(n).alias(n) for n in names])
+    vectors = np.zeros((WORDS + SHAPES, DIMS))
     for row in sums.toLocalIterator():
         vectors[row[0]] = row[1:]
     return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 def pool(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """A row of FEATURES numbers for each text."""
+    """A row of FEATURES numbers for each text; the last ASIDE are not of the vectors."""
     distinct, index, bounds = split_words(texts, lower=False)
-    n = len(bounds) - 1
-    out = np.zeros((n, FEATURES), np.float32)
-    form = forms(distinct)
+    out = np.zeros((len(bounds) - 1, FEATURES), np.float32)
+    word, shape = slots(distinct)
     for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
         if b > a:
             types, counts = np.unique(index[a:b], return_counts=True)
-            v = vectors[form[types]]
-            out[i, :DIMS] = counts @ v / (b - a)
-            out[i, DIMS : 2 * DIMS] = v.mean(0)
-            out[i, 2 * DIMS :] = np.log1p(b - a), len(types) / (b - a), counts.max() / (b - a), len(types) / (b - a) ** 0.8
+            for k, slot in enumerate((word[types], shape[types])):
+                used, where = np.unique(slot, return_inverse=True)
+                v = vectors[used]
+                both = np.stack([np.bincount(where, weights=counts) / (b - a), np.bincount(where) / len(types)])
+                out[i, 2 * k * DIMS : 2 * (k + 1) * DIMS] = (both @ v).ravel()
+            out[i, -ASIDE:] = np.log1p(b - a), len(types) / (b - a), counts.max() / (b - a), len(types) / (b - a) ** 0.8
     return out
 
 
@@ -153,11 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(at, BATCH)
-                x = pool(batch.column(1), shared.value)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(list(map(bytes, x)), pa.binary())], names=["doc_id", "label", "x"])
+        for batch in pieces(batches):
+            x = pool(batch.column(1), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(list(map(bytes, x)), pa.binary())], names=["doc_id", "label", "x"])
 
     found = labelled_sample(docs, labels, label, rows).select("doc_id", "text", "label").mapInArrow(pooled, "doc_id long, label int, x binary")
     sample = sorted((r[0], r[1], bytes(r[2])) for r in found.collect())
@@ -171,11 +171,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, dict[str, np.ndarray]], thre
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, network = pickle.loads(shared.value)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(at, BATCH)
-                p = 1 / (1 + np.exp(-np.clip(logits(network, pool(batch.column(1), vectors)) / network["t"], -50, 50)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
+        for batch in pieces(batches):
+            p = 1 / (1 + np.exp(-np.clip(logits(network, pool(batch.column(1), vectors)) / network["t"], -50, 50)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(apply, "doc_id long, score double, predicted int")
 
