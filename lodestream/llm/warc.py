@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrow_words import pieces
 from .common import materialize, read, shared_dir
 from .files import read_file, write_file
 
@@ -74,19 +75,21 @@ def split_records(stream: Iterator[bytes]) -> Iterator[bytes]:
 
 
 def inflate(data: bytes) -> Iterator[bytes]:
-    """A gzip file's content in pieces, be it one member or many."""
-    left = data
-    while left:
+    """A gzip file's content in pieces, be it one member or many; each byte is read once."""
+    view, at = memoryview(data), 0
+    while at < len(view):
         z = zlib.decompressobj(31)
-        view, at = memoryview(left), 0
+        chunk = b""
         while not z.eof:
-            chunk = z.unconsumed_tail or view[at : at + PIECE]
-            if not z.unconsumed_tail:
+            if not chunk:
+                chunk = view[at : at + PIECE]
                 at += len(chunk)
-                if not len(chunk):
-                    raise ValueError("the archive ends inside a member")
-            yield z.decompress(chunk, PIECE)
-        left = z.unused_data + bytes(view[at:])
+            out = z.decompress(chunk, PIECE)
+            if not out and not len(chunk) and not z.eof:
+                raise ValueError("the archive ends inside a member")
+            yield out
+            chunk = z.unconsumed_tail
+        at -= len(z.unused_data)  # of the last chunk: the next member's
 
 
 def _gzip(data: bytes) -> bytes:
@@ -130,7 +133,7 @@ def write_archives(records: DataFrame, base: str) -> DataFrame:
                 made.append((path, held))
             z, out, size, held = zlib.compressobj(1, zlib.DEFLATED, 31), [], 0, 0
 
-        for batch in batches:
+        for batch in pieces(batches, text=3):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 page_id, url, kind, payload, full, digest, refers_to = row
                 data = record_bytes(page_id, url, kind, payload, full, digest, refers_to)
