@@ -2,6 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir); run() writes each stage's rows to the shared folder and reads them again, so a
 stage starts from files and not from the lineage of those before it.
+
+Defined cases, in every stage: null and empty texts have no words, so the quality rules reject them; in a later stage
+they link with nothing, hold no item, have size 0 and an end id alone. A null doc_id is kept by the two stages that
+match by id, as it can't be told apart. Texts of any length are read whole. Rows repeated whole stay or go together;
+several texts under one doc_id are judged each by itself in quality and near-dedup, and together in decontamination.
+Ties go to the least doc_id. An empty table passes through all stages as none. Extra columns pass whatever their names,
+up to the last stage, which returns its own.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixing.repeat_rows(mixing.mix(docs), docs.columns)
+    return mixing.repeat_rows(docs)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
