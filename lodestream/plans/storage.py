@@ -4,18 +4,29 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that this driver has made and not removed, in order.
+_MADE: list[str] = []
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; a local one where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/lodestream"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder under spark.checkpoint.dir, which driver and executors share. Where that is unset, a session on this
+    machine alone (local mode) gets one here; on a cluster no local folder would do."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.gettempdir()}/lodestream"
+    _MADE.append(f"{base.rstrip('/')}/{uuid.uuid4().hex}")
+    return _MADE[-1]
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -23,3 +34,16 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the folders made inside: for callers that have written their result by then."""
+    first = len(_MADE)
+    try:
+        yield
+    finally:
+        for path in _MADE[first:]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _MADE[first:]
