@@ -53,10 +53,12 @@ def episode_of(ts: Column) -> Column:
 
 
 def render_dates(url: Column, end: Column) -> Column:
-    """{T}, {T+Nd} and {T-Nd} of a URL, also with _ts for epoch seconds; each offset from -7 to 7."""
-    for n in range(-7, 8):
-        day = F.date_add(F.to_date(F.from_utc_timestamp(end, ZONE)), n)
-        name = "{T" + (f"{n:+d}d" if n else "")
-        url = F.replace(url, F.lit(name + "}"), F.date_format(day, "yyyy-MM-dd"))
-        url = F.replace(url, F.lit(name + "_ts}"), (F.unix_timestamp(end) + n * 86400).cast("string"))
-    return url
+    """{T}, {T+Nd} and {T-Nd} of a URL, also with _ts for epoch seconds, by any number of days from the window's end."""
+    marks = F.array_distinct(F.regexp_extract_all(url, F.lit(r"\{T(?:[+-]\d+d)?(?:_ts)?\}"), 0))
+
+    def rendered(mark: Column) -> Column:
+        days = F.coalesce(F.regexp_extract(mark, r"([+-]\d+)d", 1).try_cast("int"), F.lit(0))
+        day = F.date_format(F.date_add(F.to_date(F.from_utc_timestamp(end, ZONE)), days), "yyyy-MM-dd")
+        return F.when(F.endswith(mark, F.lit("_ts}")), (F.unix_timestamp(end) + days * 86400).cast("string")).otherwise(day)
+
+    return F.aggregate(marks, url, lambda acc, mark: F.replace(acc, mark, rendered(mark)))

@@ -10,8 +10,6 @@ from lodestream.operators import dedup, diff, graph, pool, select, timeline, val
 from lodestream.plans.storage import materialize, read
 from lodestream.sources import feeds, fetch
 
-HEAD = 300  # characters of a text that the SQL of the fingerprints reads; the queries read all
-
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -51,12 +49,11 @@ def text_forms(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
     return read(spark, d, "documents").select(
         "doc_id", text.guess_lang(t).alias("lang"), text.bounded_text(t, 200).alias("bounded"), text.clip(t, 50).alias("clipped"), F.array_join(text.numbers(t), ",").alias("numbers"),
-        hashing.content_sha(t, F.lit(None), t, F.col("source")).alias("content_sha"), text.slugify(t, hashing.sha16(t), unicode=False).alias("slug"), text.tts_text_fix(t).alias("spoken"), F.trim(F.substring(t, 1, 20)).alias("title"),
+        hashing.content_sha(t, F.lit(None), t, F.col("source")).alias("content_sha"), text.slugify(t, hashing.sha16(t), unicode=False).alias("slug"), text.tts_text_fix(t).alias("spoken"), F.trim(t).alias("title"),
     )
 
 
 def _fingerprints(spark: SparkSession, d: str, features=hashing.stored_features) -> DataFrame:
-    """Of whole texts; the SQL below still cuts them at HEAD."""
     return hashing.simhash(read(spark, d, "documents").select("doc_id", "text"), "doc_id", features(F.col("text")))
 
 
@@ -68,7 +65,7 @@ def simhash_display(spark: SparkSession, d: str) -> DataFrame:
     return _fingerprints(spark, d, hashing.display_features)
 
 
-_WORDS = f"regexp_extract_all(lower(substr(text, 1, {HEAD})), '[a-z0-9]+')"
+_WORDS = "regexp_extract_all(lower(text), '[a-z0-9]+')"
 _SIMHASH = """
 f AS (SELECT doc_id, f, count(*) AS n FROM {features} GROUP BY ALL),
 h AS (SELECT doc_id, n, ('0x' || substr(sha1(f), 1, 16))::UBIGINT AS h FROM f),
@@ -303,7 +300,7 @@ ORACLES = {
     "text_forms": r"""SELECT doc_id, CASE WHEN trim(coalesce(substr(text, 1, 600), '')) <> '' THEN 'en' END AS lang, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '…[截断]' WHEN length(text) > 0 THEN text END AS bounded,
         CASE WHEN length(text) > 50 THEN substr(text, 1, 50) || '…' ELSE coalesce(text, '') END AS clipped, array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '\d+(?:\.\d+)?'))), ',') AS numbers,
         substr(sha256(coalesce(text, '') || chr(31) || '' || chr(31) || coalesce(text, '') || chr(31) || coalesce(source, '')), 1, 16) AS content_sha,
-        CASE WHEN length(g) >= 2 THEN g ELSE 'n' || substr(sha256(text), 1, 8) END AS slug, regexp_replace(regexp_replace(trim(regexp_replace(substr(text, 1, 100), '\s+', ' ', 'g')), '([A-Za-z])-(\d)', '\1 \2', 'g'), '(\d)-([A-Za-z])', '\1 \2', 'g') AS spoken, trim(substr(text, 1, 20)) AS title
+        CASE WHEN length(g) >= 2 THEN g ELSE 'n' || substr(sha256(text), 1, 8) END AS slug, regexp_replace(regexp_replace(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')), '([A-Za-z])-(\d)', '\1 \2', 'g'), '(\d)-([A-Za-z])', '\1 \2', 'g') AS spoken, trim(text) AS title
         FROM (SELECT *, regexp_replace(substr(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[^\x00-\x7f]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), 1, 24), '-+$', '') AS g FROM documents)""",
     "simhash_stored": _STORED + "SELECT doc_id, simhash FROM s",
     "simhash_display": _DISPLAY + "SELECT doc_id, simhash FROM s",
@@ -311,7 +308,7 @@ ORACLES = {
     "near_components": _STORED.replace("WITH", "WITH RECURSIVE", 1) + "," + _PAIRS + """, e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
         r AS (SELECT doc_id AS n, doc_id AS m FROM s UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n)
         SELECT n AS doc_id, min(m) AS component, n = min(m) AS kept FROM r GROUP BY n""",
-    "rare_token_pairs": """WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(substr(text, 1, 100)), '[a-z0-9]+')) AS t FROM documents),
+    "rare_token_pairs": """WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM documents),
         k AS (SELECT t FROM t GROUP BY t HAVING count(*) BETWEEN 2 AND least(8, greatest(3, (SELECT count(*) FROM documents) // 3)))
         SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM t x JOIN t y ON x.t = y.t AND x.doc_id < y.doc_id WHERE x.t IN (SELECT t FROM k) GROUP BY ALL""",
     "knn": """SELECT q.vec_id AS q, b.vec_id AS vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS cos,
@@ -319,10 +316,11 @@ ORACLES = {
         FROM embeddings q JOIN embeddings b ON q.vec_id % 20 = 0 AND q.vec_id <> b.vec_id QUALIFY rank <= 5""",
     "centroids": """WITH e AS (SELECT label, i - 1 AS place, avg(embedding[i]::DOUBLE) AS m FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY ALL)
         SELECT label, place, round(m / sqrt(sum(m * m) OVER (PARTITION BY label)), 6) AS x FROM e""",
-    "cascade": _STORED + """, r AS (SELECT d.doc_id, sha1(coalesce(d.text, '')) AS h, s.simhash, v.embedding::DOUBLE[] AS v FROM documents d JOIN s USING (doc_id) JOIN embeddings v ON v.vec_id = d.doc_id),
+    "cascade": _STORED + """, r AS (SELECT d.doc_id, sha1(coalesce(d.text, '')) AS h, s.simhash, v.embedding::DOUBLE[] AS v FROM documents d JOIN s USING (doc_id) LEFT JOIN embeddings v ON v.vec_id = d.doc_id),
         x AS (SELECT n.doc_id AS key, min(CASE WHEN n.h = o.h AND n.h <> sha1('') THEN o.doc_id END) AS e, min(CASE WHEN bit_count(xor(n.simhash, o.simhash)) <= 4 THEN o.doc_id END) AS g,
-            max(list_cosine_similarity(n.v, o.v)) AS c, arg_max(o.doc_id, list_cosine_similarity(n.v, o.v)) AS b FROM r n JOIN r o ON n.doc_id % 2 = 1 AND o.doc_id % 2 = 0 GROUP BY 1)
-        SELECT key, CASE WHEN e IS NOT NULL OR g IS NOT NULL THEN 'suppressed' WHEN c >= 0.58 THEN 'gray' ELSE 'fresh' END AS verdict, CASE WHEN e IS NOT NULL THEN 'dup_exact' WHEN g IS NOT NULL THEN 'dup_near' WHEN c >= 0.58 THEN 'judge_na' ELSE 'embed_lo' END AS via,
+            max(list_cosine_similarity(n.v, o.v)) AS c, arg_max(o.doc_id, list_cosine_similarity(n.v, o.v)) AS b, any_value(n.v IS NULL) AS nv FROM r n JOIN r o ON n.doc_id % 2 = 1 AND o.doc_id % 2 = 0 GROUP BY 1)
+        SELECT key, CASE WHEN e IS NOT NULL OR g IS NOT NULL THEN 'suppressed' WHEN c >= 0.58 THEN 'gray' ELSE 'fresh' END AS verdict,
+            CASE WHEN e IS NOT NULL THEN 'dup_exact' WHEN g IS NOT NULL THEN 'dup_near' WHEN nv THEN 'no_vector' WHEN c >= 0.58 THEN 'judge_na' ELSE 'embed_lo' END AS via,
             coalesce(e, g, CASE WHEN c >= 0.58 THEN b END) AS cluster_id, CASE WHEN e IS NULL AND g IS NULL THEN round(c, 4) END AS cos FROM x""",
     "episodes": "SELECT (ts + INTERVAL 90 MINUTE)::DATE + 1 AS episode, event_type, count(*) AS n, count(*)::BIGINT AS inside FROM events GROUP BY ALL",
     "eligible": """WITH p AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS p, date_trunc('day', ts) + INTERVAL 1 DAY AS f, user_id FROM events),
