@@ -23,7 +23,7 @@ from .common import ROW, carry, expand, materialize, read, words
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (5, 2, 1), 1.5, 2.0, 17
 #: Up to so many sources their rows, some 100 bytes each, are broadcast.
 BROADCAST_SOURCES = 100_000
-BUCKET_BITS = 20
+BUCKET_BITS = 10
 ADDED = ("size", "source_size", "target", "reps")
 
 
@@ -58,37 +58,50 @@ def _mixed(docs: DataFrame, weights: tuple[float, ...], share: float, max_epochs
     row = F.col(ROW)
     key = F.xxhash64(F.lit(seed), row["doc_id"], row["text"])
     own = {"_doc": row["doc_id"], "_source": row["source"], "size": F.size(words(row["text"])).cast("long"), "_key": key}
-    keyed = carry(docs).withColumns(own).withColumn("_bucket", F.shiftright("_key", 64 - BUCKET_BITS))  # in the order of _key
-    narrow = keyed.select(F.col("_doc").alias("doc_id"), F.col("_source").alias("source"), "size", "_key", "_bucket")
-    buckets = narrow.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
+    bits = lambda level: F.shiftright("_key", 64 - (level + 1) * BUCKET_BITS)  # noqa: E731  # in the order of _key
+    keyed = carry(docs).withColumns(own).withColumns({"_bucket": bits(0), "_inner": bits(1)})
+    narrow = keyed.select(F.col("_doc").alias("doc_id"), F.col("_source").alias("source"), "size", "_key", "_bucket", "_inner")
+    buckets = materialize(narrow.groupBy("source", "_bucket").agg(F.sum("size").alias("_words")))
     per_source = buckets.groupBy("source").agg(F.sum("_words").alias("source_size"))
     filled = water_fill(cyclic_weights(per_source, weights), F.col("all_size") * F.lit(float(share)), max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     filled = filled.withColumn("_whole", F.floor(epochs)).withColumn("_part", F.col("target") - F.col("_whole") * F.col("source_size"))
     filled = materialize(filled.drop("weight"))
-    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    plan = buckets.alias("b").join(filled.alias("s"), F.col("b.source").eqNullSafe(F.col("s.source"))).select("b.source", "_bucket", "_words", "_part")
-    plan = plan.withColumn("_left", F.col("_part") - F.coalesce(F.sum("_words").over(before), F.lit(0)))
-    full = (F.col("_left") > 0) & (F.col("_left") >= F.col("_words"))
-    cut = (F.col("_left") > 0) & (F.col("_left") < F.col("_words"))
-    plan = plan.groupBy("source").agg(F.max(F.when(full, F.col("_bucket"))).alias("_full"), F.max(F.when(cut, F.struct("_bucket", "_left"))).alias("_cut"))
-    plan = materialize(plan)
     # one row a source of the mixture: broadcast where that is a checked small number
     sized_join = F.broadcast if filled.count() <= BROADCAST_SOURCES else lambda df: df
-    at_cut = narrow.alias("d").join(sized_join(plan.alias("p")), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._bucket") == F.col("p._cut._bucket"))).select("d.*", F.col("_cut._left").alias("_left"))
-    inside = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    outer = materialize(_cut(buckets, filled, "_part", "_bucket"))
+    in_outer = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._bucket") == F.col("p._cut._bucket"))
+    again = narrow.alias("d").join(sized_join(outer.alias("p")), in_outer).select("d.*")
+    lefts = outer.where("_cut is not null").select("source", F.col("_cut._left").alias("_rest"))
+    plan = materialize(_cut(again.groupBy("source", "_inner").agg(F.sum("size").alias("_words")), lefts, "_rest", "_inner"))
+    in_inner = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._inner") == F.col("p._cut._inner"))
+    at_cut = narrow.alias("d").join(sized_join(plan.alias("p")), in_inner).select("d.*", F.col("_cut._left").alias("_left"))
+    inside = Window.partitionBy("source", "_inner").orderBy("_key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     taken = at_cut.withColumn("_run", F.sum("size").over(inside)).where("_run - size / 2 <= _left")
     last = taken.groupBy("source").agg(F.max(F.struct("_key", F.col("doc_id").alias("_doc"))).alias("_last"))
     same = lambda df, name: df.withColumnRenamed("source", name)
-    choice = filled.join(same(plan, "_s1"), F.col("source").eqNullSafe(F.col("_s1")), "left").join(same(last, "_s2"), F.col("source").eqNullSafe(F.col("_s2")), "left")
-    choice = materialize(choice.select(F.col("source").alias("_s"), "source_size", "target", "_whole", "_full", "_cut", "_last"))
+    named = lambda df, name: df.select(F.col("source").alias(name), F.col("_full").alias(f"{name}_full"), F.col("_cut").alias(f"{name}_cut"))
+    is_source = lambda name: F.col("source").eqNullSafe(F.col(name))
+    choice = filled.join(named(outer, "_s1"), is_source("_s1"), "left").join(named(plan, "_s2"), is_source("_s2"), "left").join(same(last, "_s3"), is_source("_s3"), "left")
+    choice = materialize(choice.select(F.col("source").alias("_s"), "source_size", "target", "_whole", F.col("_s1_full").alias("_full"), F.col("_s1_cut._bucket").alias("_at"), F.col("_s2_full").alias("_inner_full"), F.col("_s2_cut._inner").alias("_inner_at"), "_last"))
     found = keyed.join(sized_join(choice), F.col("_source").eqNullSafe(F.col("_s")))
-    whole_bucket = F.coalesce(F.col("_bucket") <= F.col("_full"), F.lit(False))
-    in_cut = F.coalesce((F.col("_bucket") == F.col("_cut._bucket")) & (F.struct("_key", "_doc") <= F.col("_last")), F.lit(False))
+    in_bucket = F.col("_bucket") == F.col("_at")
+    whole_bucket = F.coalesce(F.col("_bucket") <= F.col("_full"), F.lit(False)) | F.coalesce(in_bucket & (F.col("_inner") <= F.col("_inner_full")), F.lit(False))
+    in_cut = F.coalesce((F.col("_inner") == F.col("_inner_at")) & (F.struct("_key", "_doc") <= F.col("_last")), F.lit(False))
     reps = F.least(F.col("_whole") + F.when(whole_bucket | in_cut, 1).otherwise(0), F.lit(int(max_epochs)))
     return found.select(ROW, "size", "source_size", "target", reps.cast("int").alias("reps"))
 
 
+def _cut(buckets: DataFrame, sources: DataFrame, left: str, bucket: str) -> DataFrame:
+    """Per source the last bucket that its words (a column of sources) fill whole, and the one that they end in with
+    what is left there. buckets: source, bucket, _words."""
+    before = Window.partitionBy("source").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    rows = buckets.alias("b").join(sources.alias("s"), F.col("b.source").eqNullSafe(F.col("s.source"))).select("b.source", bucket, "_words", left)
+    rows = rows.withColumn("_left", F.col(left) - F.coalesce(F.sum("_words").over(before), F.lit(0)))
+    full, cut = (F.col("_left") > 0) & (F.col("_left") >= F.col("_words")), (F.col("_left") > 0) & (F.col("_left") < F.col("_words"))
+    return rows.groupBy("source").agg(F.max(F.when(full, F.col(bucket))).alias("_full"), F.max(F.when(cut, F.struct(bucket, "_left"))).alias("_cut"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """Adds size, source_size, target and reps to docs (doc_id, text, source): how often the mix takes each document."""
     return expand(_mixed(docs, weights, share, max_epochs, seed), ADDED)
