@@ -78,7 +78,7 @@ def bounded_text(text: Column, cap: int) -> Column:
 
 def clip(text: Column, n: int) -> Column:
     t = F.coalesce(text, F.lit(""))
-    return F.when(F.length(t) > n, F.concat(F.substring(t, 1, n), F.lit("…"))).otherwise(t)
+    return F.when(F.length(t) > n, F.concat(F.substring(t, 1, n), F.lit(TRUNCATED))).otherwise(t)
 
 
 def numbers(text: Column) -> Column:
@@ -97,11 +97,12 @@ def strip_inline_html(text: Column) -> Column:
 
 
 def md_to_html(text: Column) -> Column:
-    """Bold and code spans of inline markdown to tags, the rest escaped."""
+    """Bold and code spans of inline markdown to tags, links to their text, the rest escaped."""
     t = F.coalesce(text, F.lit(""))
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         t = F.replace(t, F.lit(char), F.lit(entity))
-    return F.regexp_replace(F.regexp_replace(t, r"\*\*(.+?)\*\*", "<strong>$1</strong>"), "`([^`]+)`", "<code>$1</code>")
+    t = F.regexp_replace(t, r"\[([^\]]+)\]\([^)]*\)", "$1")
+    return F.regexp_replace(F.regexp_replace(t, r"(?s)\*\*(.+?)\*\*", "<strong>$1</strong>"), "`([^`]+)`", "<code>$1</code>")
 
 
 def html_to_text(text: Column) -> Column:

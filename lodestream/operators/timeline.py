@@ -91,6 +91,29 @@ def find_frame(wanted: DataFrame, frames: DataFrame, keys: list[str], at: str, t
     return best.withColumn("frame", F.col("_m._path")).drop("_id", "_m")
 
 
+def find_exact_frame(wanted: DataFrame, frames: DataFrame, keys: list[str], start: str, end: str, ord_: str, tolerance: int = FRAME) -> DataFrame:
+    """Each wanted row with a frame of its keys: one whose t0 and t1 are both within the tolerance, the earliest path; else,
+    where the untimed frames of the keys are as many as the wanted rows, the one at the row's place among them.
+
+    frames: keys, t0, t1 (null where untimed), path, place.
+    """
+    w = Window.partitionBy(*keys)
+    rows = wanted.withColumns({"_id": F.monotonically_increasing_id(), "_n": F.count("*").over(w)})
+    timed = frames.where("t0 is not null").select(*keys, F.col("t0").alias("_t0"), F.col("t1").alias("_t1"), F.col("path").alias("_path"))
+    near = (F.abs(F.col("_t0") - F.col(start)) <= tolerance) & (F.abs(F.col("_t1") - F.col(end)) <= tolerance)
+    hit = rows.join(timed, keys, "left").groupBy("_id", "_n", *wanted.columns).agg(F.min(F.when(near, F.col("_path"))).alias("_hit"))
+    loose = frames.where("t0 is null").select(*keys, F.col("path").alias("_loose"), (F.row_number().over(w.orderBy("place")) - 1).alias("_k"), F.count("*").over(w).alias("_m"))
+    out = hit.withColumn("_k", F.col(ord_)).join(loose, [*keys, "_k"], "left")
+    return out.withColumn("frame", F.coalesce("_hit", F.when(F.col("_m") == F.col("_n"), F.col("_loose")))).select(*wanted.columns, "frame")
+
+
+def shot_frame(explicit: Column, found: Column, item: Column, files: Column) -> Column:
+    """The file of a shot: the one that it names, if that is there, else the frame that was found, else the one that is
+    named after its item, if that is there."""
+    usual = F.concat(F.lit("shots/"), item, F.lit(".png"))
+    return F.coalesce(F.when(F.array_contains(files, explicit), explicit), found, F.when(F.array_contains(files, usual), usual))
+
+
 def last_known(rows: DataFrame, group: str, order: str, column: str) -> DataFrame:
     """A null filled by the last value before it in its group."""
     w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -31,10 +31,19 @@ f AS (SELECT *, scheme || '://' || regexp_replace(host, '^(www\\.|m\\.|amp\\.)',
 """
 
 
+_BODIES = (
+    (-1, '<?xml version="1.0"?> <rss><channel/></rss>', 200), (-2, '  <atom:Feed xmlns="x"/>', 200), (-3, "<urlset></urlset>", 200), (-4, "<html>Just a moment...</html>", 503), (-5, "<rss>Just a moment</rss>", 200),
+    (-6, '<html><div id="root"></div></html>', 200), (-7, "", 200), (-8, "slow down", 429), (-9, "old", 304), (-10, '<div id="app">' + "long enough a text " * 6 + "</div>", 200), (-11, None, 404),
+)
+
+
 def html_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Pages, and planted bodies of every class."""
+    planted = spark.createDataFrame(_BODIES, "page_id long, html string, status int")
+    rows = read(spark, d, "pages").select("page_id", "html", (F.lit(200) + F.col("page_id") % 3 * 102).cast("int").alias("status")).union(planted)
     h = F.col("html")
-    return read(spark, d, "pages").select(
-        "page_id", fetch.xml_root_tag(h).alias("root"), fetch.looks_like_feed(h).alias("is_feed"), fetch.looks_shell(h).alias("is_shell"), fetch.classify((F.lit(200) + F.col("page_id") % 3 * 102).cast("int"), h).alias("class"),
+    return rows.select(
+        "page_id", fetch.xml_root_tag(h).alias("root"), fetch.looks_like_feed(h).alias("is_feed"), fetch.looks_shell(h).alias("is_shell"), fetch.classify(F.col("status"), h).alias("class"),
         F.array_join(diff.asset_fingerprint(h), ",").alias("assets"), F.length(text.html_to_text(h)).cast("long").alias("text_chars"),
     )
 
@@ -45,9 +54,20 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
     return diff.page_links(pages, "page_id", "url", "html").select("page_id", F.col("place").cast("long").alias("place"), "url", "canon")
 
 
+_CHINESE = ((-1, "大模型发布会今天在北京举行，多家公司到场", "wire"), (-2, "GPT-6 发布，API 定价下降 30%", "wire"), (-3, "中", "wire"), (-4, "new 模型 model 发 big model", "wire"))
+
+
+def _with_chinese(spark: SparkSession, d: str) -> DataFrame:
+    """The documents and some in Chinese, of which the tables have none."""
+    return read(spark, d, "documents").select("doc_id", "text", "source").union(spark.createDataFrame(_CHINESE, "doc_id long, text string, source string"))
+
+
+_DOCS = "docs AS (SELECT doc_id, text, source FROM documents UNION ALL VALUES " + ", ".join(f"({i}, '{t}', '{s}')" for i, t, s in _CHINESE) + ")"
+
+
 def text_forms(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    return read(spark, d, "documents").select(
+    return _with_chinese(spark, d).select(
         "doc_id", text.guess_lang(t).alias("lang"), text.bounded_text(t, 200).alias("bounded"), text.clip(t, 50).alias("clipped"), F.array_join(text.numbers(t), ",").alias("numbers"),
         hashing.content_sha(t, F.lit(None), t, F.col("source")).alias("content_sha"), text.slugify(t, hashing.sha16(t), unicode=False).alias("slug"), text.tts_text_fix(t).alias("spoken"), F.trim(t).alias("title"),
     )
@@ -58,24 +78,28 @@ def _fingerprints(spark: SparkSession, d: str, features=hashing.stored_features)
 
 
 def simhash_stored(spark: SparkSession, d: str) -> DataFrame:
-    return _fingerprints(spark, d)
+    return hashing.simhash(_with_chinese(spark, d), "doc_id", hashing.stored_features(F.col("text")))
 
 
 def simhash_display(spark: SparkSession, d: str) -> DataFrame:
-    return _fingerprints(spark, d, hashing.display_features)
+    return hashing.simhash(_with_chinese(spark, d), "doc_id", hashing.display_features(F.col("text")))
 
 
-_WORDS = "regexp_extract_all(lower(text), '[a-z0-9]+')"
 _SIMHASH = """
 f AS (SELECT doc_id, f, count(*) AS n FROM {features} GROUP BY ALL),
 h AS (SELECT doc_id, n, ('0x' || substr(sha1(f), 1, 16))::UBIGINT AS h FROM f),
 v AS (SELECT doc_id, i, sum(CASE WHEN (h >> i) & 1 = 1 THEN n ELSE -n END) AS s FROM h, (SELECT unnest(range(64))::UBIGINT AS i) GROUP BY ALL),
 u AS (SELECT doc_id, sum(CASE WHEN s > 0 THEN (1::UBIGINT << i)::HUGEINT ELSE 0 END) AS x FROM v GROUP BY 1),
-s AS (SELECT d.doc_id, (CASE WHEN coalesce(x, 0) >= 9223372036854775808 THEN x - 18446744073709551616 ELSE coalesce(x, 0) END)::BIGINT AS simhash FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN u USING (doc_id))
+s AS (SELECT d.doc_id, (CASE WHEN coalesce(x, 0) >= 9223372036854775808 THEN x - 18446744073709551616 ELSE coalesce(x, 0) END)::BIGINT AS simhash FROM (SELECT DISTINCT doc_id FROM {docs}) d LEFT JOIN u USING (doc_id))
 """
-_STORED = f"WITH w AS (SELECT doc_id, unnest({_WORDS}) AS f FROM documents), " + _SIMHASH.format(features="w")
-_DISPLAY = f"""WITH l AS (SELECT doc_id, {_WORDS} AS ws FROM documents), w AS (SELECT doc_id, unnest(ws) AS f FROM l
-    UNION ALL SELECT doc_id, ws[i] || ' ' || ws[i + 1] FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM l)), """ + _SIMHASH.format(features="w")
+_TOKENS = r"SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+|[\x{4e00}-\x{9fff}]')) AS f FROM "
+_STORED = f"WITH w AS ({_TOKENS} documents), " + _SIMHASH.format(features="w", docs="documents")
+_STORED_ALL = f"WITH {_DOCS}, w AS ({_TOKENS} docs), " + _SIMHASH.format(features="w", docs="docs")
+_DISPLAY_ALL = (
+    f"WITH {_DOCS}, " + r"""l AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+|[\x{4e00}-\x{9fff}]+') AS ws FROM docs), r AS (SELECT doc_id, ws, ws[i] AS x, ws[i + 1] AS y, i FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM l)),
+    w AS (SELECT doc_id, CASE WHEN unicode(x) > 127 AND length(x) > 1 THEN substr(x, j, 2) ELSE x END AS f FROM (SELECT *, unnest(range(1, CASE WHEN unicode(x) > 127 THEN greatest(length(x), 2) ELSE 2 END)) AS j FROM r)
+    UNION ALL SELECT doc_id, x || ' ' || y FROM r WHERE y IS NOT NULL AND unicode(x) < 128 AND unicode(y) < 128), """ + _SIMHASH.format(features="w", docs="docs")
+)
 
 
 def near_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -220,7 +244,7 @@ def contract_violations(spark: SparkSession, d: str) -> DataFrame:
         validate.missing_keys(li, o, "l_orderkey", "o_orderkey", "order-exists"), validate.unequal_sets(o.select(F.col("o_custkey").alias("k")), c.select(F.col("c_custkey").alias("k")), "k", "customers-order"),
         validate.repeated_keys(li, "l_orderkey", "one-line"), validate.broken(li, "line-bounds", F.col("l_orderkey"), ("quantity", F.col("l_quantity") <= 40), ("discount", F.col("l_discount") < 0.09), level="warning"),
     ]
-    return validate.summary(validate.report(found))
+    return validate.report(found).groupBy("rule", "level", "place", "message").agg(F.count("*").alias("n"))
 
 
 def coverage_missing(spark: SparkSession, d: str) -> DataFrame:
@@ -255,9 +279,9 @@ def first_success(spark: SparkSession, d: str) -> DataFrame:
 
 
 def new_signals(spark: SparkSession, d: str) -> DataFrame:
-    """Pages as sitemap entries of their host against every third page as seen before, three a host."""
+    """Pages as sitemap entries of their host against every third page as seen before, 40 a host: what a source may emit."""
     p = read(spark, d, "pages").select("page_id", "url", urls.url_host(F.col("url")).alias("source"), urls.url_canon(F.col("url")).alias("canon"))
-    return diff.signal_items(diff.unseen(p, p.where("page_id % 3 = 0"), "source", "canon", "page_id", 3)).select("page_id", "source", "rank", "title")
+    return diff.signal_items(diff.unseen(p, p.where("page_id % 3 = 0"), "source", "canon", "page_id", 40)).select("page_id", "source", "rank", "title")
 
 
 def json_feed(spark: SparkSession, d: str) -> DataFrame:
@@ -288,22 +312,28 @@ QUERIES = {f.__name__: f for f in (
 ORACLES = {
     "url_forms": _FORMS + """SELECT page_id, canon, substr(sha256(canon), 1, 16) AS item_key, history_canon, sha1(history_canon) AS url_hash, host,
         trim(regexp_replace(regexp_replace(list_filter(string_split(path, '/'), lambda x: x <> '')[-1], '\\.(html?|php|aspx?|md)$', '', 'i'), '[-_+]+', ' ', 'g')) AS title FROM f""",
-    "html_checks": r"""SELECT page_id, '' AS root, false AS is_feed, false AS is_shell, CASE page_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'http_302' ELSE 'http_404' END AS class,
-        array_to_string(list_filter(list_transform(regexp_extract_all(html, '(?i)<(?:script|link)\b[^>]*?(?:src|href)=["'']([^"'']+)', 1), lambda u: CASE WHEN starts_with(u, '//') THEN 'https:' || u ELSE u END), lambda u: starts_with(u, 'http'))[1:40], ',') AS assets,
-        length(regexp_replace(html, '<[^>]+>', '', 'g')) AS text_chars FROM pages""",
+    "html_checks": "WITH p AS (SELECT page_id, html, (200 + page_id % 3 * 102)::INT AS status FROM pages UNION ALL VALUES " + ", ".join("(%d, %s, %d)" % (i, "NULL" if h is None else "'" + h + "'", c) for i, h, c in _BODIES) + r"""),
+        h AS (SELECT *, coalesce(html, '') AS t, lower(regexp_replace(substr(coalesce(html, ''), 1, 600), '^\s+', '')) AS head FROM p),
+        r AS (SELECT *, regexp_replace(CASE WHEN starts_with(head, '<?xml') THEN regexp_extract(substr(head, 6), '<\s*([a-z_][\w.:+-]*)', 1) ELSE regexp_extract(head, '^<\s*([a-z_][\w.:+-]*)', 1) END, '^.*:', '') AS root FROM h),
+        s AS (SELECT *, contains(t, '<') AND regexp_matches(t, '(?i)id=["''](?:root|app|react-root|__next|__nuxt)["'']|enable javascript|javascript is (?:not available|disabled|required)|window\.__INITIAL_STATE__')
+            AND length(regexp_replace(regexp_replace(t, '<[^>]+>', ' ', 'g'), '\s+', '', 'g')) < 80 AS shell, contains(lower(t), 'just a moment') AND root NOT IN ('rss', 'feed', 'rdf', 'opml', 'urlset', 'sitemapindex') AS wall FROM r)
+        SELECT page_id, root, root IN ('rss', 'feed', 'rdf', 'opml') AS is_feed, shell AS is_shell, CASE WHEN status = 304 THEN 'ok' WHEN wall THEN 'walled' WHEN status = 429 THEN 'rate_limited' WHEN status = 200 AND t = '' THEN 'empty' WHEN status = 200 AND shell THEN 'shell_only' WHEN status = 200 THEN 'ok' ELSE 'http_' || status END AS class,
+        CASE WHEN html IS NOT NULL THEN array_to_string(list_filter(list_transform(regexp_extract_all(t, '(?i)<(?:script|link)\b[^>]*?(?:src|href)=["'']([^"'']+)', 1), lambda u: CASE WHEN starts_with(u, '//') THEN 'https:' || u ELSE u END), lambda u: starts_with(u, 'http'))[1:40], ',') END AS assets,
+        length(regexp_replace(t, '<[^>]+>', '', 'g')) AS text_chars FROM s""",
     "page_links": _FORMS + r""", l AS (SELECT page_id, host, unnest(hs) AS href, generate_subscripts(hs, 1) - 1 AS place, scheme, regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) AS origin
         FROM (SELECT *, regexp_extract_all(replace(html, 'href="/', 'href="/news/'), '(?i)<a\b[^>]*?href=["'']([^"''#]+)', 1) AS hs FROM f JOIN (SELECT page_id, html FROM pages) USING (page_id))),
         n AS (SELECT page_id, place, origin || trim(replace(href, '&amp;', '&')) AS url, scheme || '://' || regexp_replace(host, '^(www\.|m\.|amp\.)', '') || regexp_replace(trim(replace(href, '&amp;', '&')), '/+$', '') AS canon FROM l WHERE starts_with(href, '/')
             AND NOT regexp_matches(href, 'login|signin|signup|subscribe|search|/tag|category|author|about|contact|privacy|terms|legal|rss|atom|feed|cdn|static|assets|_next|wp-json|wp-admin|account|settings|share|comment', 'i')),
         d AS (SELECT *, row_number() OVER (PARTITION BY page_id, canon ORDER BY place) AS k FROM n)
         SELECT page_id, place, url, canon FROM d WHERE k = 1 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY place) <= 120""",
-    "text_forms": r"""SELECT doc_id, CASE WHEN trim(coalesce(substr(text, 1, 600), '')) <> '' THEN 'en' END AS lang, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '…[截断]' WHEN length(text) > 0 THEN text END AS bounded,
-        CASE WHEN length(text) > 50 THEN substr(text, 1, 50) || '…' ELSE coalesce(text, '') END AS clipped, array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '\d+(?:\.\d+)?'))), ',') AS numbers,
+    "text_forms": f"WITH {_DOCS}, " + r"""k AS (SELECT *, substr(coalesce(text, ''), 1, 600) AS head FROM docs), c AS (SELECT *, length(regexp_replace(head, '[^\x{4e00}-\x{9fff}]', '', 'g')) AS cjk FROM k),
+        x AS (SELECT *, regexp_replace(substr(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[^\x00-\x7f]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), 1, 24), '-+$', '') AS g FROM c)
+        SELECT doc_id, CASE WHEN trim(head) = '' THEN NULL WHEN cjk >= 8 AND cjk > 0.08 * length(head) THEN 'zh' ELSE 'en' END AS lang, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '…[截断]' WHEN length(text) > 0 THEN text END AS bounded,
+        CASE WHEN length(text) > 50 THEN substr(text, 1, 50) || '…[截断]' ELSE coalesce(text, '') END AS clipped, array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '\d+(?:\.\d+)?'))), ',') AS numbers,
         substr(sha256(coalesce(text, '') || chr(31) || '' || chr(31) || coalesce(text, '') || chr(31) || coalesce(source, '')), 1, 16) AS content_sha,
-        CASE WHEN length(g) >= 2 THEN g ELSE 'n' || substr(sha256(text), 1, 8) END AS slug, regexp_replace(regexp_replace(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')), '([A-Za-z])-(\d)', '\1 \2', 'g'), '(\d)-([A-Za-z])', '\1 \2', 'g') AS spoken, trim(text) AS title
-        FROM (SELECT *, regexp_replace(substr(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[^\x00-\x7f]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), 1, 24), '-+$', '') AS g FROM documents)""",
-    "simhash_stored": _STORED + "SELECT doc_id, simhash FROM s",
-    "simhash_display": _DISPLAY + "SELECT doc_id, simhash FROM s",
+        CASE WHEN length(g) >= 2 THEN g ELSE 'n' || substr(sha256(text), 1, 8) END AS slug, regexp_replace(regexp_replace(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')), '([A-Za-z])-(\d)', '\1 \2', 'g'), '(\d)-([A-Za-z])', '\1 \2', 'g') AS spoken, trim(text) AS title FROM x""",
+    "simhash_stored": _STORED_ALL + "SELECT doc_id, simhash FROM s",
+    "simhash_display": _DISPLAY_ALL + "SELECT doc_id, simhash FROM s",
     "near_pairs": _STORED + "," + _PAIRS + "SELECT a, b, distance FROM p",
     "near_components": _STORED.replace("WITH", "WITH RECURSIVE", 1) + "," + _PAIRS + """, e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
         r AS (SELECT doc_id AS n, doc_id AS m FROM s UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n)
@@ -348,11 +378,11 @@ ORACLES = {
         k AS (SELECT * FROM c WHERE e - s >= 150), r AS (SELECT *, max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM k),
         i AS (SELECT *, sum(CASE WHEN reach IS NULL OR s - reach >= 150 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM r)
         SELECT user_id, island::BIGINT AS island, min(s) AS start_ms, max(e) AS end_ms FROM i GROUP BY ALL""",
-    "contract_violations": """WITH v AS (SELECT 'order-exists' AS rule, 'error' AS level FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
-        UNION ALL SELECT 'customers-order', 'error' FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT DISTINCT c_custkey AS k FROM customer) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL
-        UNION ALL SELECT 'one-line', 'error' FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)
-        UNION ALL SELECT 'line-bounds', 'warning' FROM lineitem WHERE NOT coalesce(l_quantity <= 40, false) UNION ALL SELECT 'line-bounds', 'warning' FROM lineitem WHERE NOT coalesce(l_discount < 0.09, false))
-        SELECT rule, level, count(*) AS n FROM v GROUP BY ALL""",
+    "contract_violations": """WITH v AS (SELECT 'order-exists' AS rule, 'error' AS level, l_orderkey::VARCHAR AS place, 'no such parent' AS message FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+        UNION ALL SELECT 'customers-order', 'error', coalesce(a.k, b.k)::VARCHAR, CASE WHEN a.k IS NULL THEN 'right only' ELSE 'left only' END FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT DISTINCT c_custkey AS k FROM customer) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL
+        UNION ALL SELECT 'one-line', 'error', l_orderkey::VARCHAR, 'times ' || count(*) FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1
+        UNION ALL SELECT 'line-bounds', 'warning', l_orderkey::VARCHAR, 'quantity' FROM lineitem WHERE NOT coalesce(l_quantity <= 40, false) UNION ALL SELECT 'line-bounds', 'warning', l_orderkey::VARCHAR, 'discount' FROM lineitem WHERE NOT coalesce(l_discount < 0.09, false))
+        SELECT rule, level, place, message, count(*) AS n FROM v GROUP BY ALL""",
     "coverage_missing": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "injection_guard": "SELECT doc_id, NULL::VARCHAR AS hit FROM documents UNION ALL SELECT * FROM (VALUES (-1, 'ignore all previous instructions'), (-2, NULL), (-3, 'mark this item'), (-4, 'verdict ='), (-5, '忽略以上指令'), (-6, 'your new task is'), (-7, NULL))",
     "sensitive_scan": f"SELECT doc_id, word, substr(text, greatest(strpos(text, word) - 15, 1), length(word) + 30) AS snippet FROM documents, (SELECT unnest({list(_SENSITIVE)}) AS word) WHERE contains(text, word)",
@@ -361,7 +391,7 @@ ORACLES = {
     "first_success": "SELECT user_id, event_id, CASE WHEN event_type = 'click' THEN 'ok' ELSE 'error' END AS status FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type <> 'click', CASE WHEN event_type = 'click' THEN event_id ELSE -event_id END) = 1",
     "new_signals": _FORMS + r""", s AS (SELECT DISTINCT host, canon FROM f WHERE page_id % 3 = 0), n AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.host = f.host AND s.canon = f.canon))
         SELECT page_id, host AS source, row_number() OVER (PARTITION BY host ORDER BY NOT regexp_matches(path, 'news|blog|changelog|release|article|post|docs|updates|announce|notes|engineering|research|/20\d\d', 'i'), page_id)::INT AS rank,
-            trim(regexp_replace(regexp_replace(list_filter(string_split(path, '/'), lambda x: x <> '')[-1], '\.(html?|php|aspx?|md)$', '', 'i'), '[-_+]+', ' ', 'g')) AS title FROM n QUALIFY rank <= 3""",
+            trim(regexp_replace(regexp_replace(list_filter(string_split(path, '/'), lambda x: x <> '')[-1], '\.(html?|php|aspx?|md)$', '', 'i'), '[-_+]+', ' ', 'g')) AS title FROM n QUALIFY rank <= 40""",
     "json_feed": "SELECT doc_id, source AS title, 'https://x.example/' || doc_id AS url, 1700000000 + doc_id AS published, doc_id::VARCHAR AS guid, lang AS tags FROM documents",
     "rss_feed": "SELECT page_id, 'p' || page_id AS title, url, epoch(TIMESTAMP '2024-01-01 19:04:05')::BIGINT AS published, 'a,b' AS tags FROM pages",
     "history_text": """WITH m AS (SELECT source, doc_id, substr(coalesce(text, ''), 1, 160) AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents),

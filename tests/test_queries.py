@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from lodestream.plans import queries as q
+from lodestream.plans import registry as q
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
