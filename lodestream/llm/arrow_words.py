@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import glob
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +29,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _MIX[2])
 
 
+def one_thread() -> None:
+    """Matrix products on the core that a task has: with threads of its own, numpy's library burns many times the CPU time
+    that small products take. Does nothing where that library is another one."""
+    for path in glob.glob(os.path.join(os.path.dirname(os.path.dirname(np.__file__)), "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = PIECE_ROWS, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most so many rows and bytes of the column numbered text; a larger row stands alone."""
     for batch in batches:

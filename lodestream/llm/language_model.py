@@ -36,7 +36,7 @@ from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrow_words import pieces, split_words
+from .arrow_words import one_thread, pieces, split_words
 from .common import crc_fold, materialize, read
 
 EMBED, WORDS_A_TAIL, LEAST_TAILS, KNOWN = 8, 8, 16, 1 << 17
@@ -142,8 +142,10 @@ class Trainer:
 
     def _add(self, name: str, rows: np.ndarray, gradient: np.ndarray) -> None:
         """An Adagrad step of rows, which may repeat, up their summed gradients."""
-        order = np.argsort(rows, kind="stable")
-        used, first, count = np.unique(rows[order], return_index=True, return_counts=True)
+        order = np.argsort(rows)
+        ranked = rows[order]
+        first = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1])
+        used, count = ranked[first], np.diff(np.append(first, len(rows)))
         total = np.add.reduceat(gradient[order], first, axis=0)
         self.squares[name][used] += np.einsum("ij,ij->i", total, total)
         self.p[name][used] += RATE * total / np.sqrt(self.squares[name][used])[:, None]
@@ -190,6 +192,7 @@ def train(texts: DataFrame, units: Units) -> Parameters:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        one_thread()
         units = pickle.loads(packed.value)
         trainer = Trainer(units, TaskContext.get().partitionId())
         for batch in pieces(batches, text=0):
@@ -289,6 +292,7 @@ def _scorer(packed):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        one_thread()
         m = pickle.loads(packed.value)
         units, scorer = m["units"], Scorer(m["units"], m["p"])
         words, c = pa.array(m["words"], pa.large_string()), np.append(m["c"], 0.0)

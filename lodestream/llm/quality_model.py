@@ -27,7 +27,7 @@ from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow_words import pieces, split_words
+from .arrow_words import one_thread, pieces, split_words
 from .common import read
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 
@@ -155,6 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         for batch in pieces(batches):
             x = pool(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(list(map(bytes, x)), pa.binary())], names=["doc_id", "label", "x"])
@@ -170,6 +171,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, dict[str, np.ndarray]], thre
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         vectors, network = pickle.loads(shared.value)
         for batch in pieces(batches):
             p = 1 / (1 + np.exp(-np.clip(logits(network, pool(batch.column(1), vectors)) / network["t"], -50, 50)))

@@ -12,8 +12,8 @@ Encoding: byte-level BPE never merges across a space between two visible charact
 punctuation, so texts are cut there and the tokenizer sees each distinct piece once while it stays in a bounded memo
 of the worker; the ids are those of the whole text.
 
-Memory of a worker: PIECE_BYTES of text at a time, a memo of MEMO_PIECES pieces and MEMO_IDS ids, a shard of SHARD_IDS
-ids or one larger document; the memo is dropped when a task ends.
+Memory of a worker: BATCH_BYTES of text at a time, a memo of MEMO_PIECES pieces and MEMO_IDS ids, a shard of SHARD_IDS
+ids or one larger document.
 
 Defined cases: null and empty texts have the end id alone; a null doc_id sorts first; documents of one doc_id stand in
 the order of their texts' hashes; repeated rows are documents of their own; an empty table writes nothing and gives no
@@ -42,7 +42,7 @@ BLOCK = 256
 #: Ids per word and bits per id by selector (fixed values of the format); selector 0 announces a raw word.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
-SHARD_IDS, MEMO_PIECES, MEMO_IDS, END_ID = 1_000_000, 500_000, 2_000_000, 0
+SHARD_IDS, MEMO_PIECES, MEMO_IDS, BATCH_BYTES, END_ID = 1_000_000, 1_000_000, 4_000_000, 4 << 20, 0
 _PAD, _MAGIC, _HEAD = 120, b"S8B1", struct.Struct("<4sIQQQ")
 _CLASS_OF_BITS = np.array([next((s for s in range(1, 16) if WIDTHS[s] >= b), 16) for b in range(65)], np.uint8)
 _CLASS_OF_SMALL = _CLASS_OF_BITS[np.array([v.bit_length() for v in range(1 << 16)])]
@@ -355,7 +355,7 @@ def write_ids(docs: DataFrame, base: str, tokenizer_path: str) -> DataFrame:
                 rows.append((task.partitionId(), len(rows), path, len(doc_ids), len(flat)))
             doc_ids, counts, ids, held = [], [], [], 0
 
-        for part in slices(batches):
+        for part in slices(batches, rows=2_000, most=BATCH_BYTES):
             got, n = encoder.encode(part.column(1))
             doc_ids += part.column(0).to_pylist()
             counts.append(n)
@@ -364,7 +364,6 @@ def write_ids(docs: DataFrame, base: str, tokenizer_path: str) -> DataFrame:
             if held >= SHARD_IDS:
                 flush()
         flush()
-        encoder.forget()
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds], names=["part", "seq", "path", "n_docs", "n_ids"])
 
     kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
