@@ -73,7 +73,9 @@ def sample_sentences(rows: DataFrame, group: str, order: str, text: str, n: int
 
 def link_audit(links: DataFrame, statuses: DataFrame) -> DataFrame:
     """url, class, n, owners (at most 20, in order): every distinct URL of the items with its class."""
-    owners = links.groupBy("url").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set("id")), 1, 20).alias("owners"))
+    counts = links.groupBy("url").agg(F.count("*").alias("n"))
+    first = links.select("url", "id").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("url").orderBy("id"))).where("_n <= 20")
+    owners = counts.join(first.groupBy("url").agg(F.array_sort(F.collect_list("id")).alias("owners")), "url", "left")
     return owners.join(statuses.select("url", "class"), "url", "left").select("url", F.coalesce("class", F.lit("unchecked")).alias("class"), "n", "owners")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -19,14 +20,14 @@ from pyspark.sql import functions as F
 from lodestream.functions.hashing import hamming
 from lodestream.functions.vectors import cosine, mean_unit
 from lodestream.operators.graph import components
-from lodestream.plans.storage import materialize
+from lodestream.plans.storage import materialize, read_blocks, shared_dir
 
 # The cascade's thresholds and the cluster's life in days.
 T_AUTO, T_GRAY, NEAR, NEAR_AUTO, TTL_DAYS = 0.85, 0.58, 4, 8, 21
 KNN_K, COS_TOKEN, COS_KNN, COS_ANY, LEAST_CONFIDENCE, MOST_JUDGED = 5, 0.55, 0.62, 0.80, 0.6, 60
 EMPTY_SHA1 = "da39a3ee5e6b4b0d3255bfef95601890afd80709"
-#: Vectors of a kNN query block: 4,096 rows are broadcast at a time.
-KNN_BLOCK = 4096
+#: Rows of a kNN query block, and of the base that a task compares with the blocks at a time.
+KNN_BLOCK, KNN_CHUNK = 4096, 16_384
 
 
 def first_of_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -35,20 +36,36 @@ def first_of_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return df.withColumn("_n", F.row_number().over(top)).where("_n = 1").drop("_n")
 
 
-def hamming_pairs(df: DataFrame, key: str, fingerprint: str, most: int, together: int = 2) -> DataFrame:
+def bands_together(n: int, m: int, most: int) -> int:
+    """How many bands should agree for n rows to meet m: fewer keys a row against fewer rows a key, by what both cost.
+
+    With t of most + t bands, a row has C(most + t, t) keys of 64 t / (most + t) bits.
+    """
+    cost = lambda t: comb(most + t, t) * (n + m + n * m / 2.0 ** (64 * t / (most + t)))
+    return min(range(1, 7), key=cost)
+
+
+def band_keys(fingerprint: Column, most: int, together: int) -> Column:
+    """Keys of which two fingerprints at most so many bits apart share one: of most + together bands, ``together`` agree."""
+    n = most + together
+    edges = [round(64 * i / n) for i in range(n + 1)]
+    band = lambda i: F.shiftrightunsigned(fingerprint, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
+    return F.array(*[F.xxhash64(F.lit(j), *[band(i) for i in chosen]) for j, chosen in enumerate(combinations(range(n), together))])
+
+
+def hamming_pairs(df: DataFrame, key: str, fingerprint: str, most: int, together: int | None = None) -> DataFrame:
     """a < b of key with fingerprints at most so many bits apart, and their distance; exact by the pigeonhole principle.
 
-    Of most + together bands of a fingerprint that differs in at most ``most`` bits, ``together`` agree: rows that share
-    that many bands meet in an equi-join. Equal fingerprints are one row there, so a value that a third of all rows has
+    Rows that share a band key meet in an equi-join; without ``together`` the count of the fingerprints sets how long
+    the keys are. Equal fingerprints are one row there, so a value that a third of all rows has
     meets nobody twice; its rows are linked to the least of them, and other links are those of that least row.
     """
     rows = df.where(F.col(fingerprint).isNotNull()).select(F.col(key).alias("k"), F.col(fingerprint).alias("fp"))
     groups = materialize(rows.groupBy("fp").agg(F.min("k").alias("rep")))
-    n = most + together
-    edges = [round(64 * i / n) for i in range(n + 1)]
-    band = lambda i: F.shiftrightunsigned("fp", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    keys = [F.xxhash64(F.lit(j), *[band(i) for i in chosen]) for j, chosen in enumerate(combinations(range(n), together))]
-    banded = groups.withColumn("band", F.explode(F.array(*keys)))
+    if together is None:
+        n = groups.count()
+        together = bands_together(n, n, most)
+    banded = groups.withColumn("band", F.explode(band_keys(F.col("fp"), most, together)))
     a, b = banded.select("band", F.col("rep").alias("a"), F.col("fp").alias("fa")), banded.select("band", F.col("rep").alias("b"), F.col("fp").alias("fb"))
     near = a.join(b, "band").where((F.col("fa") < F.col("fb")) & (hamming(F.col("fa"), F.col("fb")) <= most))
     near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), hamming(F.col("fa"), F.col("fb")).alias("distance")).distinct()
@@ -72,39 +89,63 @@ def rare_token_pairs(df: DataFrame, key: str, tokens: str, n: int) -> DataFrame:
 def knn(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int = KNN_K) -> DataFrame:
     """q, key, cos, rank: the k rows of base nearest to each row of queries by cosine, itself left out; ties by key.
 
-    Blocks of queries are broadcast; each batch of base keeps its k best per query, and the few that are left are
-    ranked. Exact, with one pass over base for a block.
+    The query set is written to the shared folder in blocks; tasks over base read the blocks one after the other and
+    keep, for every KNN_CHUNK rows of theirs, the k best of each query, of which the few that are left are ranked.
+    Exact, in one pass over base; nothing is collected, and a task holds a chunk and a block.
     """
-    total = queries.count()
-    out = None
-    blocks = max(1, -(-total // KNN_BLOCK))
-    split = queries.select(F.col(key).cast("long").alias("q"), F.col(vector).cast("array<double>").alias("v")).withColumn("_b", F.pmod(F.xxhash64("q"), F.lit(blocks)))
-    for i in range(blocks):
-        rows = split.where(F.col("_b") == i).collect()
-        if not rows:
-            continue
-        block = queries.sparkSession.sparkContext.broadcast((np.array([r.q for r in rows]), _units(np.array([r.v for r in rows]))))
-
-        def best(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            ids, vectors = block.value
-            for whole in batches:
-                for at in range(0, whole.num_rows, 2048):
-                    batch = whole.slice(at, 2048)
-                    keys = batch.column(0).to_numpy()
-                    cos = np.round(vectors @ _units(np.array(batch.column(1).to_pylist(), float)).T, 12)
-                    cos[ids[:, None] == keys[None, :]] = -np.inf
-                    order = np.lexsort((np.broadcast_to(keys, cos.shape), -cos), axis=1)[:, :k]
-                    q = np.repeat(ids, order.shape[1])
-                    c = np.take_along_axis(cos, order, 1).ravel()
-                    real = np.isfinite(c)
-                    yield pa.RecordBatch.from_arrays([pa.array(q[real]), pa.array(keys[order.ravel()][real]), pa.array(c[real])], names=["q", key, "cos"])
-
-        found = base.select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias("v")).mapInArrow(best, f"q long, {key} long, cos double")
-        out = found if out is None else out.union(found)
-    if out is None:
-        return queries.sparkSession.createDataFrame([], f"q long, {key} long, cos double, rank int")
+    spark = queries.sparkSession
+    path = shared_dir(spark)
+    split = queries.select(F.col(key).cast("long").alias("q"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
+    split.repartition(max(1, -(-queries.count() // KNN_BLOCK))).write.parquet(path)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, KNN_CHUNK):
+            keys, vectors = chunk.column(0).to_numpy(), _units(_matrix(chunk.column(1)))
+            for block in read_blocks(path):
+                ids = block.column(0).to_numpy()
+                if not len(ids):
+                    continue
+                cos = np.round(_units(_matrix(block.column(1))) @ vectors.T, 12)
+                cos[ids[:, None] == keys[None, :]] = -np.inf
+                order = np.lexsort((np.broadcast_to(keys, cos.shape), -cos), axis=1)[:, :k] if cos.shape[1] <= 64 else _first(cos, keys, k)
+                c = np.take_along_axis(cos, order, 1).ravel()
+                real = np.isfinite(c)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, order.shape[1])[real]), pa.array(keys[order.ravel()][real]), pa.array(c[real])], names=["q", key, "cos"])
+
+    found = base.select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias("v")).where("v is not null").mapInArrow(best, f"q long, {key} long, cos double")
     order = Window.partitionBy("q").orderBy(F.desc("cos"), key)
-    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            held.append(batch.slice(at, rows))
+            if sum(b.num_rows for b in held) >= rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Rows of an array column, all of one length."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _first(cos: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
+    """The places of each row's k highest, ties by key: only those at least as high as the k-th are ordered."""
+    if cos.shape[1] <= k:
+        return np.lexsort((np.broadcast_to(keys, cos.shape), -cos), axis=1)
+    least = np.partition(cos, cos.shape[1] - k, axis=1)[:, cos.shape[1] - k]
+    out = np.empty((len(cos), k), np.int64)
+    for i, low in enumerate(least):
+        some = np.flatnonzero(cos[i] >= low)
+        out[i] = some[np.lexsort((keys[some], -cos[i, some]))[:k]]
+    return out
 
 
 def _units(v: np.ndarray) -> np.ndarray:
@@ -167,11 +208,12 @@ def cascade(items: DataFrame, members: DataFrame, clusters: DataFrame, day: Colu
     exact = members.where((F.col("url_hash") != "") & (F.col("url_hash") != EMPTY_SHA1)).groupBy("url_hash").agg(F.min_by("cluster_id", "item_id").alias("exact_id"))
     rows = items.join(exact, "url_hash", "left")
     live_members = members.select("item_id", "cluster_id", F.col("simhash").alias("m")).join(live.select("cluster_id"), "cluster_id", "left_semi")
-    # within NEAR bits: five bands, one of which agrees; one fingerprint of a cluster is enough
-    bands = lambda c: F.array(*[F.xxhash64(F.lit(i), F.shiftrightunsigned(c, edge).bitwiseAND(F.lit((1 << width) - 1))) for i, (edge, width) in enumerate([(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)])])
-    fps = live_members.groupBy("m").agg(F.min("cluster_id").alias("near_id")).withColumn("band", F.explode(bands(F.col("m"))))
-    wanted = rows.where(F.col("exact_id").isNull())
-    met = wanted.select("simhash").distinct().withColumn("band", F.explode(bands(F.col("simhash")))).join(fps, "band").where(hamming(F.col("simhash"), F.col("m")) <= NEAR)
+    # within NEAR bits, by band keys; one fingerprint of a cluster is enough, and its least cluster
+    fps = materialize(live_members.groupBy("m").agg(F.min("cluster_id").alias("near_id")))
+    wanted = materialize(rows.where(F.col("exact_id").isNull()).select("simhash").distinct())
+    together = bands_together(wanted.count(), fps.count(), NEAR)
+    keys = lambda df, c: df.withColumn("band", F.explode(band_keys(F.col(c), NEAR, together)))
+    met = keys(wanted, "simhash").join(keys(fps, "m"), "band").where(hamming(F.col("simhash"), F.col("m")) <= NEAR)
     near = met.groupBy("simhash").agg(F.min("near_id").alias("near_id"))
     rows = rows.join(near, "simhash", "left")
     # the query set, items that nothing cheaper decides, against all open centroids in blocks
@@ -202,69 +244,99 @@ def cascade_in_order(items: DataFrame, members: DataFrame, clusters: DataFrame,
     """The cascade in the order of ``ord``: every item is compared with the history and the items before it.
 
     items: episode, ord, key, url_hash, simhash, vector; members and clusters as in ``cascade``, with open clusters
-    only. One task per episode, as each decision changes what the next one meets. Returns episode, key, verdict, via,
-    cluster_id, cos.
+    only. One task per episode, as each decision changes what the next one meets; an item meets the history in array
+    operations. Returns episode, key, verdict, via, cluster_id, cos.
     """
-    kind = "episode string, kind int, ord long, key long, url_hash string, simhash long, vector array<double>, cluster_id long"
     names = ["episode", "kind", "ord", "key", "url_hash", "simhash", "vector", "cluster_id"]
-    episodes = items.select("episode").distinct()
-    past = members.join(clusters.select("cluster_id", "centroid"), "cluster_id").select(F.lit(0).alias("kind"), F.col("item_id").alias("ord"), F.col("item_id").alias("key"), "url_hash", "simhash", F.col("centroid").cast("array<double>").alias("vector"), "cluster_id")
-    old = F.broadcast(episodes).join(past, F.lit(True)).select(*names)
+    past = members.join(clusters.select("cluster_id", "centroid"), "cluster_id").select(F.lit(0).alias("kind"), F.col("item_id").cast("long").alias("ord"), F.col("item_id").cast("long").alias("key"), "url_hash", "simhash", F.col("centroid").cast("array<double>").alias("vector"), F.col("cluster_id").cast("long").alias("cluster_id"))
     new = items.select("episode", F.lit(1).alias("kind"), F.col("ord").cast("long").alias("ord"), F.col("key").cast("long").alias("key"), "url_hash", "simhash", F.col("vector").cast("array<double>").alias("vector"), F.lit(None).cast("long").alias("cluster_id"))
+    rows = new
+    for (episode,) in items.select("episode").distinct().collect():  # days
+        rows = rows.unionByName(past.withColumn("episode", F.lit(episode)).select(*names))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["kind", "ord"])
-        exact: dict[str, int] = {}
-        fps: list[int] = []
-        owner: list[int] = []
-        centre: dict[int, np.ndarray] = {}
-        count: dict[int, int] = {}
-        out, mask = [], (1 << 64) - 1
-        for r in pdf.itertuples():
-            v = np.asarray(r.vector, float)
-            h = r.url_hash or ""
-            if r.kind == 0:
-                cid = int(r.cluster_id)
-                centre[cid], count[cid] = v, count.get(cid, 0) + 1
-                fps.append(int(r.simhash) & mask)
-                owner.append(cid)
-                exact.setdefault(h, cid)
-                continue
-            bits = [(f ^ (int(r.simhash) & mask)).bit_count() for f in fps]
-            near = min((c for c, b in zip(owner, bits, strict=True) if b <= NEAR), default=None)
+        old, fresh = pdf[pdf.kind == 0], pdf[pdf.kind == 1]
+        store = _Store(old, len(fresh))
+        out = []
+        for r in fresh.itertuples():
+            v, h = np.asarray(r.vector, float), r.url_hash or ""
+            found = store.compare(v, int(r.simhash))
             cos, via, cid, verdict = None, "no_history", None, "fresh"
-            if h and h != EMPTY_SHA1 and h in exact:
-                via, cid, verdict = "dup_exact", exact[h], "suppressed"
-            elif near is not None:
-                via, cid, verdict = "dup_near", near, "suppressed"
-            elif centre:
-                n = np.linalg.norm(v)
-                scores = {c: float(v @ u / (n * m)) if (m := np.linalg.norm(u)) * n else 0.0 for c, u in sorted(centre.items())}
-                top = max(scores, key=scores.get)
-                cos = round(scores[top], 4)
-                best_bits = min((b for c, b in zip(owner, bits, strict=True) if c == top), default=64)
-                if scores[top] >= T_AUTO and best_bits <= NEAR_AUTO:
+            if h and h != EMPTY_SHA1 and h in store.exact:
+                via, cid, verdict = "dup_exact", store.exact[h], "suppressed"
+            elif found["near"] is not None:
+                via, cid, verdict = "dup_near", found["near"], "suppressed"
+            elif found["top"] is not None:
+                top, cos = found["top"], round(found["cos"], 4)
+                if found["cos"] >= T_AUTO and found["bits"] <= NEAR_AUTO:
                     via, cid, verdict = "dup_same", top, "suppressed"
-                elif scores[top] >= T_GRAY:
-                    answer = judge(int(r.key), top, scores[top]) if judge else None
+                elif found["cos"] >= T_GRAY:
+                    answer = judge(int(r.key), top, found["cos"]) if judge else None
                     via, cid, verdict = {"A": ("judge_a", top, "suppressed"), "B": ("judge_b", top, "reissue"), "C": ("judge_c", None, "fresh")}.get(answer, ("judge_na", top, "gray"))
                 else:
                     via = "embed_lo"
-            if cid is None:
-                cid = max(centre, default=0) + 1
-                centre[cid], count[cid] = v, 1
-            else:
-                old_n = count.get(cid, 0)
-                total = centre.get(cid, np.zeros_like(v)) * old_n + v
-                centre[cid], count[cid] = total / max(np.linalg.norm(total), 1e-300), old_n + 1
-            fps.append(int(r.simhash) & mask)
-            owner.append(cid)
-            exact.setdefault(h, cid)
+            cid = store.add(cid, v, int(r.simhash), h)
             out.append((r.episode, int(r.key), verdict, via, cid, cos))
         return pd.DataFrame(out, columns=["episode", "key", "verdict", "via", "cluster_id", "cos"]).astype({"cos": float})
 
-    del kind
-    return old.unionByName(new.select(*names)).groupBy("episode").applyInPandas(run, "episode string, key long, verdict string, via string, cluster_id long, cos double")
+    return rows.groupBy("episode").applyInPandas(run, "episode string, key long, verdict string, via string, cluster_id long, cos double")
+
+
+class _Store:
+    """The open clusters and their members' fingerprints as arrays with room for an episode's own."""
+
+    def __init__(self, old: pd.DataFrame, room: int) -> None:
+        self.exact: dict[str, int] = {}
+        for h, c in zip(old.url_hash, old.cluster_id, strict=True):
+            self.exact.setdefault(h or "", int(c))
+        first = old.drop_duplicates("cluster_id").sort_values("cluster_id")
+        self.ids = np.concatenate([first.cluster_id.to_numpy(np.int64), np.zeros(room, np.int64)])
+        self.clusters, self.place = len(first), {int(c): i for i, c in enumerate(first.cluster_id)}
+        self.counts = np.zeros(len(self.ids), np.int64)
+        for c, n in old.cluster_id.value_counts().items():
+            self.counts[self.place[int(c)]] = n
+        self.centres: np.ndarray | None = None
+        if self.clusters:
+            self.centres = np.zeros((len(self.ids), len(first.vector.iloc[0])))
+            self.centres[: self.clusters] = np.stack([np.asarray(x, float) for x in first.vector])
+        self.fps = np.concatenate([old.simhash.to_numpy(np.int64).view(np.uint64), np.zeros(room, np.uint64)])
+        self.owner = np.concatenate([old.cluster_id.to_numpy(np.int64), np.zeros(room, np.int64)])
+        self.members = len(old)
+
+    def compare(self, v: np.ndarray, simhash: int) -> dict:
+        """near: the least cluster with a member within NEAR bits; top, cos, bits: the nearest by cosine, the least of equal
+        ones, and its nearest member."""
+        bits = np.bitwise_count(self.fps[: self.members] ^ np.int64(simhash).view(np.uint64))
+        owner = self.owner[: self.members]
+        near = owner[bits <= NEAR]
+        found = {"near": int(near.min()) if len(near) else None, "top": None}
+        if self.clusters:
+            centres = self.centres[: self.clusters]
+            norms = np.linalg.norm(centres, axis=1) * np.linalg.norm(v)
+            cos = np.where(norms > 0, centres @ v / np.where(norms > 0, norms, 1), 0.0)
+            ids = self.ids[: self.clusters]
+            top = int(ids[cos == cos.max()].min())
+            found |= {"top": top, "cos": float(cos.max()), "bits": int(bits[owner == top].min(initial=64))}
+        return found
+
+    def add(self, cid: int | None, v: np.ndarray, simhash: int, h: str) -> int:
+        """Stores an item in its cluster, or in a new one behind the last."""
+        if cid is None:
+            cid = int(self.ids[: self.clusters].max(initial=0)) + 1
+            if self.centres is None:
+                self.centres = np.zeros((len(self.ids), len(v)))
+            self.place[cid] = self.clusters
+            self.ids[self.clusters], self.centres[self.clusters], self.counts[self.clusters] = cid, v, 1
+            self.clusters += 1
+        elif cid in self.place:
+            i = self.place[cid]
+            total = self.centres[i] * self.counts[i] + v
+            self.centres[i], self.counts[i] = total / max(np.linalg.norm(total), 1e-300), self.counts[i] + 1
+        self.fps[self.members], self.owner[self.members] = np.int64(simhash).view(np.uint64), cid
+        self.members += 1
+        self.exact.setdefault(h, cid)
+        return cid
 
 
 def recompute_clusters(members: DataFrame, ttl_days: int = TTL_DAYS) -> DataFrame:

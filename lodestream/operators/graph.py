@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     reaches. Links of an id to itself and nulls are ignored; no links give no rows."""
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = materialize(links)
-    mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("decimal(38,0)"))).first())
+    mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)"))).first())
     state = mark(links)
     while True:
         links = materialize(_star(links))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestream.functions import hashing
 from lodestream.operators import clusters, dedup, items, pool
-from lodestream.plans.storage import read
+from lodestream.plans.queries import _STORED
+from lodestream.plans.storage import materialize, read
 
 _at = lambda x: F.lit(x).cast("timestamp")
 _NOW, _EPISODE = "2024-01-20T00:00:00+00:00", "2024-01-20"
@@ -255,10 +257,38 @@ def old_rows(spark: SparkSession, d: str) -> DataFrame:
     return clusters.backfill_rows(docs, F.lit("2024-01-15"))
 
 
+def _same_day(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with vectors as one day's items, and their recalled pairs."""
+    docs = read(spark, d, "documents").select("doc_id", "text", "n_chars")
+    rows = docs.join(read(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("vector")), "doc_id")
+    prints = hashing.simhash(rows.select("doc_id", "text"), "doc_id", hashing.stored_features(F.col("text")))
+    day = materialize(rows.withColumn("tokens", hashing.title_tokens(F.col("text"))).drop("text").join(prints, "doc_id"))
+    return day, materialize(dedup.candidate_pairs(day, "doc_id", "tokens", "vector"))
+
+
+def same_day_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return _same_day(spark, d)[1].withColumn("cos", F.round("cos", 6))
+
+
+def same_day_groups(spark: SparkSession, d: str) -> DataFrame:
+    """A day's clusters by near fingerprints and a judge that joins every second pair it is asked about, and who stands for them."""
+    day, pairs = _same_day(spark, d)
+    groups = dedup.same_day_clusters(day, pairs, "doc_id", "simhash", lambda asked: asked.withColumn("verdict", F.when((F.col("a") + F.col("b")) % 2 == 0, "A").otherwise("C")))
+    reps = dedup.representatives(groups.join(day.select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("n_chars").cast("double")).alias("value")), "doc_id"), "doc_id", "component", "value")
+    return groups.join(reps.select("component", F.col("doc_id").alias("representative")), "component")
+
+
 QUERIES = {f.__name__: f for f in (
-    items_built, pool_candidates, pool_due, pool_statistics, pool_writes, pool_records, real_verdicts, state_tables, run_days, cluster_life, cluster_moves, cluster_writes, stored_rows, cluster_reports, replayed, backfilled, old_rows,
+    items_built, pool_candidates, pool_due, pool_statistics, pool_writes, pool_records, real_verdicts, state_tables, run_days, cluster_life, cluster_moves, cluster_writes, stored_rows, cluster_reports, replayed, backfilled, old_rows, same_day_pairs, same_day_groups,
 )}
 
+_DAY = """, i AS (SELECT d.doc_id, d.text, d.n_chars, e.embedding::DOUBLE[] AS v, s.simhash FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id JOIN s USING (doc_id)),
+t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM i), k AS (SELECT t FROM t GROUP BY t HAVING count(*) BETWEEN 2 AND least(8, greatest(3, (SELECT count(*) FROM i) // 3))),
+tp AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM t x JOIN t y ON x.t = y.t AND x.doc_id < y.doc_id WHERE x.t IN (SELECT t FROM k)),
+n AS (SELECT x.doc_id AS q, y.doc_id AS w FROM i x JOIN i y ON x.doc_id <> y.doc_id QUALIFY row_number() OVER (PARTITION BY x.doc_id ORDER BY round(list_cosine_similarity(x.v, y.v), 12) DESC, y.doc_id) <= 5),
+kp AS (SELECT DISTINCT least(q, w) AS a, greatest(q, w) AS b FROM n), ab AS (SELECT a, b, tp.a IS NOT NULL AS tok, kp.a IS NOT NULL AS knn FROM tp FULL JOIN kp USING (a, b)),
+c AS (SELECT a, b, greatest(0.0, list_cosine_similarity(x.v, y.v)) AS cos, tok, knn, bit_count(xor(x.simhash, y.simhash)) <= 4 AS near FROM ab JOIN i x ON x.doc_id = a JOIN i y ON y.doc_id = b)"""
+
 ORACLES = {
     "items_built": _ITEMS + """SELECT item_key, url_canon, title, content_text, CASE WHEN kind = 'rss' AND date IS NOT NULL THEN '2024-01-01T19:04:05+00:00' END AS date_published, language, tags, CASE WHEN kind = 'rss' THEN (tags <> '')::INT END AS signal,
         CASE WHEN kind = 'rss' THEN content_sha END AS content_sha, CASE WHEN kind = 'rss' THEN '2024-01-20' END AS first_seen, kind AS source_kind, CASE WHEN kind <> 'rss' THEN 'kind' END AS errors FROM b""",
@@ -314,4 +344,9 @@ ORACLES = {
         SELECT 'made' AS what, k AS cluster_id, true AS published, {_MARK.format(c='c')} AS mark FROM c UNION ALL SELECT 'swapped', k2, NULL, {_MARK.format(c='c')} FROM c2""",
     "old_rows": """SELECT CASE WHEN doc_id % 2 = 0 AND source <> '' THEN source ELSE 'zh' END AS title, CASE WHEN doc_id % 3 = 0 THEN 's' ELSE substr(coalesce(text, ''), 1, 300) END AS summary, 'u' || doc_id AS url,
         CASE WHEN doc_id % 4 = 0 THEN '2024-01-02' WHEN doc_id % 5 = 0 THEN '2023-02-03' ELSE '2024-01-15' END AS day, source FROM documents""",
+    "same_day_pairs": _STORED + _DAY + " SELECT a, b, round(cos, 6) AS cos, tok, knn FROM c",
+    "same_day_groups": _STORED.replace("WITH", "WITH RECURSIVE", 1) + _DAY + """, asked AS (SELECT a, b FROM c WHERE NOT near AND (cos >= 0.80 OR (tok AND cos >= 0.55) OR (knn AND cos >= 0.62)) ORDER BY cos DESC, a, b LIMIT 60),
+        l AS (SELECT a, b FROM c WHERE near UNION SELECT a, b FROM asked WHERE (a + b) % 2 = 0), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT doc_id AS n, doc_id AS m FROM i UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n),
+        g AS (SELECT n AS doc_id, min(m) AS component FROM r GROUP BY 1), p AS (SELECT component, doc_id AS representative FROM g JOIN i USING (doc_id) QUALIFY row_number() OVER (PARTITION BY component ORDER BY CASE WHEN doc_id % 3 <> 0 THEN n_chars ELSE 0 END DESC, doc_id) = 1)
+        SELECT component, doc_id, representative FROM g JOIN p USING (component)""",
 }

@@ -7,6 +7,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folders that this driver has made and not removed, in order.
@@ -36,6 +39,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_blocks(path: str) -> Iterator[pa.Table]:
+    """In a task: the files of a table in the shared folder, one after the other, through any store that pyarrow opens."""
+    store, at = fs.FileSystem.from_uri(path)
+    for file in sorted(f.path for f in store.get_file_info(fs.FileSelector(at)) if f.path.endswith(".parquet")):
+        yield pq.read_table(file, filesystem=store)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store that Spark knows; one that isn't there is none to delete."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes, at its end, the folders made inside: for callers that have written their result by then."""
@@ -44,6 +60,5 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _MADE[first:]:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            remove(spark, path)
         del _MADE[first:]
