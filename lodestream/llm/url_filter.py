@@ -62,17 +62,15 @@ def bloom_blocks(keys: DataFrame, n_keys: int) -> tuple[DataFrame, int]:
     return keys.groupBy(F.pmod(F.xxhash64("key"), F.lit(n_blocks)).alias("block")).agg(*masks), n_blocks
 
 
-def candidate_keys(urls: DataFrame, labels: list[int], lengths: list[int]) -> DataFrame:
+def candidate_keys(urls: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
     """host, path -> a row for each key under which they could be listed, of the given label counts and prefix lengths."""
-    parts = F.split("host", r"\.")
-    counts = F.array(*[F.lit(n) for n in labels]).cast("array<int>")
-    cuts = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
+    listed = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(cut).alias("cut")) for n, cut in shapes])
+    fits = F.filter(listed, lambda s: (s["n"] <= F.size("parts")) & (s["cut"] <= F.length("path")))
     return (
-        urls.withColumn("parts", parts)
-        .withColumn("n", F.explode(F.filter(counts, lambda n: n <= F.size("parts"))))
-        .withColumn("suffix", F.expr("array_join(slice(parts, size(parts) - n + 1, n), '.')"))
-        .withColumn("cut", F.explode(F.filter(cuts, lambda n: n <= F.length("path"))))
-        .select("host", "path", F.concat("suffix", F.lit("\u0000"), F.expr("substring(path, 1, cut)")).alias("key"))
+        urls.withColumn("parts", F.split("host", r"\."))
+        .withColumn("s", F.explode(fits))
+        .withColumn("suffix", F.expr("array_join(slice(parts, size(parts) - s.n + 1, s.n), '.')"))
+        .select("host", "path", F.concat("suffix", F.lit("\u0000"), F.expr("substring(path, 1, s.cut)")).alias("key"))
     )
 
 
@@ -82,11 +80,11 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     n_rules = listed.count()
     if not n_rules:
         return urls.select("host", "path", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict")).limit(0)
-    # distinct lengths, never more than a URL's length
-    shapes = listed.agg(F.collect_set(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths")).first()
+    # the label counts and prefix lengths that occur together: never more than a URL has of each
+    shapes = sorted(tuple(r) for r in listed.select(F.size(F.split("host", r"\.")), F.length("path")).distinct().collect())
     sized = F.broadcast if n_rules <= BROADCAST_RULES else lambda df: df
     blocks, n_blocks = bloom_blocks(listed.select("key"), n_rules)
-    probes = candidate_keys(urls.distinct(), sorted(shapes.labels), sorted(shapes.lengths)).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(n_blocks)))
+    probes = candidate_keys(urls.distinct(), shapes).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(n_blocks)))
     passes = None
     for w in range(WORDS_A_BLOCK):
         mask = _mask(F.col("key"), w)
