@@ -316,3 +316,15 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: Every pair of documents with a shingle in common, for tables of some thousand documents.
+ORACLE = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+g AS (SELECT doc_id, array_to_string(ws[i : i + {SHINGLE - 1}], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {SHINGLE - 2}, CASE WHEN len(ws) > 0 THEN 2 ELSE 1 END))) AS i FROM w)),
+s AS (SELECT DISTINCT doc_id, hash(g) AS h FROM g), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {PERCENT} * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT doc_id AS v, doc_id AS m FROM w UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.v), f AS (SELECT v, min(m) AS component_id FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w JOIN f ON f.v = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""

@@ -23,7 +23,7 @@ from .common import ROW, carry, expand, materialize, read, words
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (5, 2, 1), 1.5, 2.0, 17
 #: Up to so many sources their rows, some 100 bytes each, are broadcast.
 BROADCAST_SOURCES = 100_000
-BUCKET_BITS = 10
+BUCKET_BITS, KEY_BITS = 10, 60
 ADDED = ("size", "source_size", "target", "reps")
 
 
@@ -56,9 +56,10 @@ def water_fill(sources: DataFrame, total: Column, max_epochs: float = MAX_EPOCHS
 def _mixed(docs: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float, seed: int) -> DataFrame:
     """The carried rows of docs with the columns of ADDED."""
     row = F.col(ROW)
-    key = F.xxhash64(F.lit(seed), row["doc_id"], row["text"])
+    marked = F.concat(F.lit(f"{seed}\u001f"), F.coalesce(row["doc_id"].cast("string"), F.lit("")), F.lit("\u001f"), F.coalesce(row["text"], F.lit("")))
+    key = F.conv(F.substring(F.md5(marked.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("long")
     own = {"_doc": row["doc_id"], "_source": row["source"], "size": F.size(words(row["text"])).cast("long"), "_key": key}
-    bits = lambda level: F.shiftright("_key", 64 - (level + 1) * BUCKET_BITS)  # noqa: E731  # in the order of _key
+    bits = lambda level: F.shiftright("_key", KEY_BITS - (level + 1) * BUCKET_BITS)  # noqa: E731  # in the order of _key
     keyed = carry(docs).withColumns(own).withColumns({"_bucket": bits(0), "_inner": bits(1)})
     narrow = keyed.select(F.col("_doc").alias("doc_id"), F.col("_source").alias("source"), "size", "_key", "_bucket", "_inner")
     buckets = materialize(narrow.groupBy("source", "_bucket").agg(F.sum("size").alias("_words")))
@@ -115,4 +116,17 @@ def repeat_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"), "source", "reps")
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"), "source")
+
+
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, ('0x' || substr(md5('{SEED}' || chr(31) || coalesce(doc_id::VARCHAR, '') || chr(31) || coalesce(text, '')), 1, {KEY_BITS // 4}))::UBIGINT AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, {list(WEIGHTS)}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1)::INT]::DOUBLE AS weight, source_size * {MAX_EPOCHS}::DOUBLE AS cap, {SHARE}::DOUBLE * sum(source_size) OVER () AS total FROM s),
+l AS (SELECT *, cap / weight AS ratio, greatest(total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0)
+    / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT *, CASE WHEN level >= ratio THEN cap ELSE (SELECT level FROM l WHERE level < ratio ORDER BY ratio, source NULLS LAST LIMIT 1) * weight END AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
+r AS (SELECT d.*, source_size, target, whole, target - whole * source_size AS part, sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS run FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, (size * least(whole + CASE WHEN part > 0 AND run - size / 2 <= part THEN 1 ELSE 0 END, {int(MAX_EPOCHS)}))::BIGINT AS taken, source FROM r
+"""

@@ -16,4 +16,4 @@ QUERIES = {
     "op9_quality_model": quality_model.query,
     "op10_warc": warc.query,
 }
-ORACLES = {"op1_url_filter": url_filter.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op10_warc": warc.ORACLE}
+ORACLES = {"op1_url_filter": url_filter.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op5_mixing": mixing.ORACLE, "op7_minhash": minhash.ORACLE, "op10_warc": warc.ORACLE}
