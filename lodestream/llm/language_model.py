@@ -11,7 +11,7 @@ probabilities of a context thus sum to one over the known words, those assumed u
 
 Training reads all texts of the training folds. Word counts are summed by Spark. Then every task runs NCE over its own
 tokens from common initial embeddings: for a minibatch, NOISE groups drawn from the groups' shares, and for each token
-NOISE_WORDS words drawn from its group's; Adagrad by row. The tasks' embeddings are averaged by Spark, each row weighted by
+NOISE_WORDS words drawn from its group's (a table of NOISE_TABLE draws of each); Adagrad by row. The tasks' embeddings are averaged by Spark, each row weighted by
 the updates that it had, so every text takes part and nothing but embeddings reaches the driver.
 
 Scoring: the most frequent words, with their counts, are broadcast (KNOWN of them, or all units' words); a text's other
@@ -40,8 +40,8 @@ from .arrow_words import one_thread, pieces, split_words
 from .common import crc_fold, materialize, read
 
 EMBED, WORDS_A_TAIL, LEAST_TAILS, KNOWN = 8, 8, 16, 1 << 17
-DIMS, NOISE, NOISE_WORDS, MINIBATCH, RATE, SEED = 24, 32, 4, 4096, 0.1, 3
-FOLDS, HELD_OUT, ADD, DISCOUNT, UNSEEN, SCORED = 10, 0, 0.1, 0.6, 4, 1 << 14
+DIMS, NOISE, NOISE_WORDS, NOISE_TABLE, MINIBATCH, RATE, SEED = 16, 16, 2, 4096, 8192, 0.1, 3
+FOLDS, HELD_OUT, ADD, DISCOUNT, UNSEEN, SCORED = 10, 0, 0.1, 0.6, 4, 1 << 15
 
 
 def tail_hashes(words: pa.Array) -> np.ndarray:
@@ -138,6 +138,10 @@ class Trainer:
         self.squares = {k: np.full(len(w), 1e-8, np.float32) for k, w in self.p.items()}
         self.updates = {k: np.zeros(len(w), np.int64) for k, w in self.p.items()}
         self.log_noise = (np.log(NOISE * units.share).astype(np.float32), np.log(NOISE_WORDS * units.within).astype(np.float32))
+        # each group's noise, drawn once: minibatches pick from it
+        at = self.units.sums[self.units.edges[:-1], None] + self.rng.random((units.groups, NOISE_TABLE)) * np.diff(self.units.sums[self.units.edges])[:, None]
+        rank = np.clip(np.searchsorted(units.sums, at, "right") - 1, units.edges[:-1, None], units.edges[1:, None] - 1)
+        self.noise = units.order[rank].astype(np.int32)
         self.bias = (np.log(units.share).astype(np.float32), np.log(units.within).astype(np.float32))
 
     def _add(self, name: str, rows: np.ndarray, gradient: np.ndarray) -> None:
@@ -162,9 +166,7 @@ class Trainer:
         back = error @ p["g"][drawn] + right[:, None] * p["g"][own]
         of_groups = np.concatenate([error.T @ h, right[:, None] * h])
         # words: the token against NOISE_WORDS of its group
-        low, high = units.sums[units.edges[own]], units.sums[units.edges[own + 1]]
-        at = low[:, None] + self.rng.random((len(token), NOISE_WORDS)) * (high - low)[:, None]
-        noise = units.order[np.clip(np.searchsorted(units.sums, at, "right") - 1, units.edges[own][:, None], units.edges[own + 1][:, None] - 1)]
+        noise = self.noise[own[:, None], self.rng.integers(0, NOISE_TABLE, (len(token), NOISE_WORDS), dtype=np.int32)]
         rows = np.concatenate([token[:, None], noise], 1)
         q = p["q"][rows]
         g = -_sigmoid(np.einsum("ij,ikj->ik", h, q) + (self.bias[1] - self.log_noise[1])[rows])
@@ -237,9 +239,10 @@ class Scorer:
 
 
 def _log_softmax(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log of the softmax of each row, at one column of it."""
-    top = scores.max(1)
-    return (scores[np.arange(len(at)), at] - top).astype(np.float64) - np.log(np.exp(scores - top[:, None]).sum(1, dtype=np.float64))
+    """The log of the softmax of each row, at one column of it; scores are used up."""
+    scores -= scores.max(1, keepdims=True)
+    own = scores[np.arange(len(at)), at].astype(np.float64)
+    return own - np.log(np.exp(scores, out=scores).sum(1, dtype=np.float32))
 
 
 def fit(training: DataFrame, counts: DataFrame) -> dict:
