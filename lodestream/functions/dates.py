@@ -62,3 +62,9 @@ def render_dates(url: Column, end: Column) -> Column:
         return F.when(F.endswith(mark, F.lit("_ts}")), (F.unix_timestamp(end) + days * 86400).cast("string")).otherwise(day)
 
     return F.aggregate(marks, url, lambda acc, mark: F.replace(acc, mark, rendered(mark)))
+
+
+def checked_day(day: Column) -> Column:
+    """A day, written in full and on the calendar; anything else stops the query before a row is written."""
+    good = day.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(day, "yyyy-MM-dd").isNotNull()
+    return F.when(good, F.to_date(day, "yyyy-MM-dd")).otherwise(F.raise_error(F.concat(F.lit("not a day: "), F.coalesce(day, F.lit("null")))).cast("date"))

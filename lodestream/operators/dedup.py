@@ -396,3 +396,8 @@ def history_text(members: DataFrame, most: int = 6, each: int = 160, cap: int =
     texts = F.array_sort(F.collect_list(F.struct("_n", F.substring(F.coalesce("summary", F.lit("")), 1, each).alias("s"))))
     named = F.array_distinct(F.filter(F.transform(texts, lambda x: x["s"]), lambda s: s != ""))
     return rows.groupBy("cluster_id").agg(F.substring(F.array_join(named, " / "), 1, cap).alias("history"))
+
+
+def gray_pairs(decided: DataFrame) -> DataFrame:
+    """Of a cascade's decisions without a judge, those that a judge should be asked about, the surest first."""
+    return decided.where(F.col("via") == "judge_na").select("key", "cluster_id", "cos").orderBy(F.desc("cos"), "key")

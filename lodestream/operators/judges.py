@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,3 +80,31 @@ def unknown_entities(summaries: DataFrame, names: DataFrame) -> DataFrame:
     """entity, n of the summaries' entities that no alias table names, the most frequent first."""
     seen = summaries.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n"))
     return seen.join(names.select(F.col("name").alias("entity")).distinct(), "entity", "left_anti").orderBy(F.desc("n"), "entity")
+
+
+def embed(rows: DataFrame, key: str, text: str, embedder: Callable[[list[str]], np.ndarray], query: bool = False, instruction: str = "", batch: int = 64) -> DataFrame:
+    """key, vector: what an external embedder makes of each text, at unit length; queries carry an instruction before them.
+
+    embedder takes at most ``batch`` texts and returns a row of numbers for each; a null text counts as empty.
+    """
+    asked = F.concat(F.lit(f"{instruction} "), F.coalesce(text, F.lit(""))) if query else F.coalesce(text, F.lit(""))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for at in range(0, len(part), batch):
+                some = part.iloc[at : at + batch]
+                v = np.asarray(embedder(some["_t"].tolist()), float)
+                v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+                yield pd.DataFrame({key: some[key], "vector": list(v)})
+
+    kind = dict(rows.dtypes)[key]
+    return rows.select(key, asked.alias("_t")).mapInPandas(run, f"{key} {kind}, vector array<double>")
+
+
+def cached_summaries(summaries: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
+    """Stored summary records with today's aliases: names in titles, texts and entities, each entity once."""
+    named = apply_aliases(F.array_join(F.coalesce("entities", F.array().cast("array<string>")), "\u0000"), aliases)
+    return summaries.withColumns({
+        "title_zh": apply_aliases(F.col("title_zh"), aliases), "summary": apply_aliases(F.col("summary"), aliases),
+        "entities": F.array_distinct(F.filter(F.split(named, "\u0000"), lambda x: x != "")),
+    })

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestream.functions.dates import window_end, window_start
+
 REPLACED = ("title", "content_text", "image", "language", "raw_ref", "source_name", "source_feed_url", "source_kind", "item_guid", "tags", "daily", "content_sha")
 VERDICTS = ("filter_verdict", "judged_content_sha", "verdict_prompt", "verdict_model", "verdict_at", "ai_relevance", "news_value", "reasons")
 KEPT = ("url", "url_canon", "date_fetched", "first_seen")
@@ -286,3 +288,21 @@ def migrate(parts: dict[str, tuple[DataFrame, DataFrame]]) -> tuple[dict[str, Da
         row = want.join(merged[name].agg(F.count("*").alias("found")), F.lit(True)).select(F.lit(name).alias("table"), "expected", "found")  # one row each
         checks = row if checks is None else checks.union(row)
     return merged, checks.where("expected <> found")
+
+
+def open_pool(runs: DataFrame, episode: str, grace_days: int = 2, stale_days: int = 14) -> DataFrame:
+    """One row of episode, start, end, grace_from, floor if the episode is a day and the pool has runs of it; else none:
+    then the files of the run alone count."""
+    day = F.try_to_date(F.lit(episode), "yyyy-MM-dd")
+    row = runs.where((F.col("episode") == episode) & day.isNotNull()).select("episode").limit(1)
+    start = window_start(day)
+    return row.select("episode", start.alias("start"), window_end(day).alias("end"), F.date_sub(day, grace_days).cast("timestamp").alias("grace_from"), (start - F.make_interval(days=F.lit(stale_days))).alias("floor"))
+
+
+def import_run(pool: DataFrame, items: DataFrame, verdicts: DataFrame, summaries: DataFrame, dedup: DataFrame, kept: DataFrame, episode: str, model: str, now: Column, order: Column) -> DataFrame:
+    """A past run's artifacts replayed into the pool: its items upserted, the verdicts that a judge gave, summaries of
+    known prompts, dedup rows, and the kept keys as used. items are base columns; all rows are one a key."""
+    out = upsert(pool, items, order)
+    out = write_verdicts(out, items, verdicts.where(is_real_verdict(F.col("prov"), F.col("reasons"), model)), VERDICT_PROMPT, now)
+    out = write_summaries(out, items, summaries.where(F.col("prov.prompt").rlike(r"^summary-v\d+$")), now)
+    return mark_used(write_dedup(out, dedup), kept, episode)

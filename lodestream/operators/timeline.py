@@ -127,3 +127,21 @@ def ffconcat(track: DataFrame, group: str) -> DataFrame:
     rows = F.array_sort(F.collect_list(line))
     body = F.array_join(F.flatten(F.transform(rows, lambda x: F.array(x["file"], x["dur"]))), "\n")
     return track.groupBy(group).agg(F.concat(F.lit("ffconcat version 1.0\n"), body, F.lit("\n"), F.element_at(F.transform(rows, lambda x: x["file"]), -1), F.lit("\n")).alias("text"))
+
+
+def shot_windows(overlays: DataFrame, issue: DataFrame, segs: DataFrame) -> DataFrame:
+    """item, start_ms, end_ms, src of shots: the timeline's own overlays of kind shot; for items without one, the window
+    from the first to the last sentence that the issue names (item, first, last), if the item has them.
+
+    segs: item, si (from 0), start_ms, end_ms.
+    """
+    own = overlays.where(F.coalesce("kind", F.lit("shot")) == "shot").where("start_ms is not null and end_ms is not null").select("item", "start_ms", "end_ms", "src")
+    rest = issue.join(own.select("item").distinct(), "item", "left_anti").where("first >= 1 and last >= 1")
+    a = segs.select("item", (F.col("si") + 1).alias("first"), F.col("start_ms").alias("start_ms"))
+    b = segs.select("item", (F.col("si") + 1).alias("last"), F.col("end_ms").alias("end_ms"))
+    return own.unionByName(rest.join(a, ["item", "first"]).join(b, ["item", "last"]).select("item", "start_ms", "end_ms", F.lit(None).cast("string").alias("src")))
+
+
+def any_card(frames: DataFrame, group: str) -> DataFrame:
+    """group, path: the first card that there is, by item and place."""
+    return frames.where("kind = 'card' and path is not null").groupBy(group).agg(F.min_by("path", F.struct("item", "place")).alias("path"))
