@@ -14,8 +14,8 @@ to PRIOR: there a bare insult or threat weighs next to nothing, an aimed one muc
 What a bare word weighs on a corpus is thus decided by that corpus's labels, never by the word list.
 
 The lexicons of threats, targets, negations and reporting verbs are fixed word lists in four languages. Insults are a
-seed list and all words of the sample whose document count among toxic rows exceeds chance by a likelihood ratio of at
-least LEAST_G2; the sample's bound is theirs.
+seed list and all words and word stems (beginnings of STEMS characters) of the sample whose document count among toxic
+rows exceeds chance by a likelihood ratio of at least LEAST_G2; the sample's bound is theirs.
 
 Defined cases: null and empty texts have no clause and get the score of a text without matches; texts are read whole;
 without labels of both classes the weights are PRIOR's; repeated rows each get
@@ -49,6 +49,8 @@ SEEDS = {
 }
 CLAUSE_END, EDGES = ".!?;:", ".,;:!?\"'()[]{}*#"
 LEAST_G2, LEAST_ROWS, THRESHOLD, GAP = 25.0, 5, 0.3, 4
+#: Lengths of stems, which are learned beside whole words and written with STEM behind them.
+STEMS, STEM = (4, 5, 6, 7), "*"
 
 #: Labels of arcs, their weights before any labelled row is seen, and how strongly the ridge holds each to that.
 LABELS = ("insult", "threat", "aimed_insult", "aimed_threat", "negated", "reported")
@@ -118,10 +120,23 @@ class Grammar:
         self.machine = compose(insults(), threats(), targets(), negations(), reports())
         self.weights = np.array([*PRIOR, PRIOR_BIAS]) if weights is None else weights
         self.symbol = {w: s for s, text in SEEDS.items() for w in text.split()}
+        stems = [w.removesuffix(STEM) for w in learned or {} if w.endswith(STEM)]
         for w in learned or {}:
-            self.symbol.setdefault(w, INSULT)
+            if not w.endswith(STEM):
+                self.symbol.setdefault(w, INSULT)
         self.words = pa.array(list(self.symbol), pa.large_string())
         self.symbols = np.array(list(self.symbol.values()))
+        self.stems = {n: pa.array([w for w in stems if len(w) == n], pa.large_string()) for n in STEMS}
+
+    def symbols_of(self, distinct: pa.Array) -> np.ndarray:
+        """The symbol of each word: that of the word without its edges, else an insult where a learned stem begins it."""
+        bare = pc.utf8_trim(distinct, EDGES)
+        symbol = np.append(self.symbols, OTHER)[pc.fill_null(pc.index_in(bare, value_set=self.words), len(self.symbols)).to_numpy(zero_copy_only=False)]
+        for n, stems in self.stems.items():
+            if len(stems):
+                begins = pc.is_in(pc.utf8_slice_codeunits(bare, 0, n), value_set=stems).to_numpy(zero_copy_only=False)
+                symbol = np.where((symbol == OTHER) & begins, INSULT, symbol)
+        return symbol
 
     def path(self, symbols: list[int]) -> np.ndarray:
         """How often each label stands on the path of a clause."""
@@ -140,8 +155,7 @@ class Grammar:
         out = np.zeros((n, len(LABELS) + 1))
         if not len(index):
             return out
-        place = pc.index_in(pc.utf8_trim(distinct, EDGES), value_set=self.words)
-        symbol = np.append(self.symbols, OTHER)[pc.fill_null(place, len(self.symbols)).to_numpy(zero_copy_only=False)]
+        symbol = self.symbols_of(distinct)
         closes = pc.is_in(pc.utf8_slice_codeunits(distinct, -1, None), value_set=pa.array(list(CLAUSE_END), pa.large_string())).to_numpy(zero_copy_only=False)
         at = np.flatnonzero((symbol == INSULT)[index] | (symbol == THREAT)[index])  # other clauses have no labels
         if not len(at):
@@ -161,13 +175,15 @@ class Grammar:
 
 
 def learn_insults(sample: DataFrame) -> dict[str, float]:
-    """Words of the sample (text, label) that toxic rows hold more often than chance, with their likelihood ratios."""
-    bare = F.transform(words(ascii_lower(F.col("text"))), lambda w: F.trim(w, F.lit(EDGES)))
+    """Words and stems of the sample (text, label) that toxic rows hold more often than chance, with their likelihood ratios."""
+    bare = F.array_distinct(F.transform(words(ascii_lower(F.col("text"))), lambda w: F.trim(w, F.lit(EDGES))))
+    stems = [F.expr(f"transform(filter(bare, w -> length(w) > {n}), w -> concat(substring(w, 1, {n}), '{STEM}'))") for n in STEMS]
     totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("tox")).first()
     n, tox = totals.n, totals.tox
     if not tox or tox == n:
         return {}
-    seen = sample.select("label", F.explode(F.array_distinct(bare)).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("a"), F.sum("label").alias("b"))
+    terms = F.array_distinct(F.concat(F.filter("bare", lambda w: ~F.endswith(w, F.lit(STEM))), *stems))
+    seen = sample.select("label", bare.alias("bare")).select("label", F.explode(terms).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("a"), F.sum("label").alias("b"))
     share = tox / n
     a, b = F.col("a"), F.col("b")
     part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
