@@ -32,7 +32,7 @@ from .common import read
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 
 WORDS, SHAPES, DIMS, NONZERO, REACH, HIDDEN, STEPS, SEED = 1 << 14, 1 << 13, 48, 4, 2, 32, 4_000, 5
-THRESHOLD, ASIDE = 0.7, 4
+THRESHOLD, ASIDE, RATE, DECAY = 0.7, 4, 0.003, 1e-3
 FEATURES = 4 * DIMS + ASIDE
 
 
@@ -131,12 +131,12 @@ def train(x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
             h = np.tanh(u @ p["w1"] + p["b1"])
             e = (1 / (1 + np.exp(-np.clip(h @ p["w2"] + p["b2"], -30, 30))) - t) / len(t)
             back = e[:, None] * p["w2"] * (1 - h * h)
-            grads = {"w1": u.T @ back + 1e-4 * p["w1"], "b1": back.sum(0), "w2": h.T @ e + 1e-4 * p["w2"], "b2": e.sum(keepdims=True)}
+            grads = {"w1": u.T @ back + DECAY * p["w1"], "b1": back.sum(0), "w2": h.T @ e + DECAY * p["w2"], "b2": e.sum(keepdims=True)}
             step += 1
             for k, g in grads.items():
                 m[k] += 0.1 * (g - m[k])
                 v[k] += 0.001 * (g * g - v[k])
-                p[k] -= 0.01 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+                p[k] -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
     model |= p
     logit, t = logits(model, x[aside]), y[aside]
     grid = np.geomspace(0.25, 8, 61)
