@@ -386,6 +386,19 @@ def test_gaps_equal_brute_force():
         assert g.path(symbols)[toxicity.AIMED] == (abs(a - b) <= toxicity.GAP)
 
 
+def test_stems_stand_for_words():
+    g = toxicity.Grammar({"bomen*": 30.0, "fool": 30.0})
+    symbols = g.symbols_of(pa.array(["bomenteca,", "bomen", "bome", "fool!", "fools", "you"], pa.large_string())).tolist()
+    assert symbols == [toxicity.INSULT, toxicity.INSULT, toxicity.OTHER, toxicity.INSULT, toxicity.OTHER, toxicity.TARGET]
+
+
+def test_words_and_stems_are_learned(spark):
+    rows = [(f"calm words here {i} achtung{i} mostly" + (f" bomente{i} you" if i % 4 == 0 else " bright"), int(i % 4 == 0)) for i in range(80)]
+    found = toxicity.learn_insults(spark.createDataFrame(rows, "text string, label int"))
+    assert {"bome*", "bomen*", "bomente*"} <= set(found) and not any(w.startswith("acht") or w in ("bright", "mostly", "calm") for w in found)
+    assert toxicity.learn_insults(spark.createDataFrame(rows, "text string, label int").where("label = 0")) == {}
+
+
 def test_weights_are_learned():
     x, y = np.zeros((200, 6)), np.arange(200) % 2
     x[:, toxicity.BARE] = y * np.log(2)
