@@ -144,8 +144,9 @@ def test_projected_and_used(spark):
     assert got == {"a": "suppressed", "b": "reissue", "c": "suppressed", "d": "gray"}
     used = pool.mark_used(p, p.select("item_key"), "e2")
     assert {r.item_key: r.used_in_episode for r in used.collect()} == {"a": "e1", "b": "e2", "c": "e2", "d": "e2"}
-    own = pool.write_dedup(p, spark.createDataFrame([("a", "suppressed", 1), ("d", "suppressed", 2)], "item_key string, verdict string, cluster_id long"))
-    assert {r.item_key: r.dedup_verdict for r in own.collect()} == {"a": "fresh", "b": "reissue", "c": None, "d": "suppressed"}
+    # the cluster that a row is stored under never suppresses it, whatever its verdict; another one does
+    own = pool.write_dedup(p, spark.createDataFrame([("a", "suppressed", 1), ("d", "suppressed", 2), ("b", "suppressed", 3), ("c", "gray", 1)], "item_key string, verdict string, cluster_id long"))
+    assert {r.item_key: r.dedup_verdict for r in own.collect()} == {"a": "fresh", "b": "suppressed", "c": "gray", "d": None}
 
 
 def test_decisions(spark):
