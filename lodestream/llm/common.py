@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.plans.storage import materialize, read, shared_dir
+from lodestream.plans import storage
+from lodestream.plans.storage import read, shared_dir
 
 __all__ = ["BROADCAST_IDS", "ROW", "ascii_lower", "carry", "crc_fold", "expand", "materialize", "read", "shared_dir", "without_ids", "without_rows", "words"]
 
@@ -16,6 +17,21 @@ WORD_GAP = r"[ \t-\r]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bytes of a batch that Spark hands to a Python worker while a step is written: JVM and worker hold it several times.
+ARROW_BYTES, _ARROW = "4m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """storage.materialize with small batches for the Python workers; the session's own setting is back afterwards."""
+    conf = df.sparkSession.conf
+    before = conf.get(_ARROW)
+    conf.set(_ARROW, ARROW_BYTES)
+    try:
+        return storage.materialize(df)
+    finally:
+        conf.set(_ARROW, before)
+
+
 #: Up to so many ids, 8 bytes each, are broadcast; beyond that the join shuffles.
 BROADCAST_IDS = 1_000_000
 
