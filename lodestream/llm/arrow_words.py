@@ -40,6 +40,14 @@ def one_thread() -> None:
                 break
 
 
+def release() -> None:
+    """Gives back to the system what a piece has used: allocators keep it otherwise, and a worker lives for many tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = PIECE_ROWS, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most so many rows and bytes of the column numbered text; a larger row stands alone."""
     for batch in batches:
@@ -50,6 +58,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = PIECE_R
             to = min(at + rows, max(at + 1, fit))
             yield batch.slice(at, to - at)
             at = to
+            release()
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:

@@ -41,7 +41,7 @@ from .common import crc_fold, materialize, read
 
 EMBED, WORDS_A_TAIL, LEAST_TAILS, KNOWN = 8, 8, 16, 1 << 17
 DIMS, NOISE, NOISE_WORDS, NOISE_TABLE, MINIBATCH, RATE, SEED = 16, 16, 2, 4096, 8192, 0.1, 3
-FOLDS, HELD_OUT, ADD, DISCOUNT, UNSEEN, SCORED = 10, 0, 0.1, 0.6, 4, 1 << 15
+FOLDS, HELD_OUT, ADD, DISCOUNT, UNSEEN, SCORED = 10, 0, 0.1, 0.6, 4, 1 << 12
 
 
 def tail_hashes(words: pa.Array) -> np.ndarray:
@@ -223,18 +223,19 @@ class Scorer:
         self.q, self.q_bias = p["q"][units.order], np.log(units.within[units.order]).astype(np.float32)  # by rank
 
     def log10(self, before: np.ndarray, far: np.ndarray, token: np.ndarray) -> np.ndarray:
+        h, group, rank = self.one[before], self.units.group[token], self.units.rank[token]
+        h += self.two[far]
         out = np.empty(len(token))
         for i in range(0, len(token), SCORED):
             part = slice(i, i + SCORED)
-            rank, group = self.units.rank[token[part]], self.units.group[token[part]]
-            h = self.one[before[part]] + self.two[far[part]]
-            found = _log_softmax(h @ self.g.T + self.g_bias, group)
-            order = np.argsort(group, kind="stable")
-            edges = np.searchsorted(group[order], np.arange(self.units.groups + 1))
-            for k in np.flatnonzero(np.diff(edges)).tolist():
-                rows, a, b = order[edges[k] : edges[k + 1]], self.units.edges[k], self.units.edges[k + 1]
-                found[rows] += _log_softmax(h[rows] @ self.q[a:b].T + self.q_bias[a:b], rank[rows] - a)
-            out[part] = found
+            out[part] = _log_softmax(h[part] @ self.g.T + self.g_bias, group[part])
+        order = np.argsort(group)
+        edges = np.searchsorted(group[order], np.arange(self.units.groups + 1))
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            a, b = self.units.edges[k], self.units.edges[k + 1]
+            for i in range(edges[k], edges[k + 1], SCORED):
+                rows = order[i : min(i + SCORED, edges[k + 1])]
+                out[rows] += _log_softmax(h[rows] @ self.q[a:b].T + self.q_bias[a:b], rank[rows] - a)
         return out / math.log(10)
 
 
@@ -301,7 +302,7 @@ def _scorer(packed):
         words, c = pa.array(m["words"], pa.large_string()), np.append(m["c"], 0.0)
         own_words, row = len(units.words), TaskContext.get().partitionId() << 40
         end = (np.log10(m["ends"] + ADD), 1) if m["ends"] else (np.log10(ADD), 0)
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=1 << 20):
             distinct, index, bounds = split_words(batch.column(1))
             n = batch.num_rows
             text = np.repeat(np.arange(n), np.diff(bounds))
