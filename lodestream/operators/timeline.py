@@ -107,6 +107,21 @@ def find_exact_frame(wanted: DataFrame, frames: DataFrame, keys: list[str], star
     return out.withColumn("frame", F.coalesce("_hit", F.when(F.col("_m") == F.col("_n"), F.col("_loose")))).select(*wanted.columns, "frame")
 
 
+def plan_faults(video: DataFrame, audio: DataFrame, segs: DataFrame, files: DataFrame, group: str, total: str, timeline_total: str) -> DataFrame:
+    """group, fault, detail of a render plan: seams of its video track, totals apart by more than TOTAL, audio that misses
+    its sentence by more than AUDIO or is missing or too much, and files that aren't there.
+
+    video: group, show_from, show_to, src, total, timeline_total. audio: group, ord, at, src. segs: group, ord, start_ms.
+    """
+    seams = tiling_faults(video, group, total).select(group, "fault", F.col("start").cast("string").alias("detail"))
+    apart = video.select(group, total, timeline_total).distinct().where(F.abs(F.col(total) - F.col(timeline_total)) > TOTAL).select(group, F.lit("total"), F.col(total).cast("string"))
+    met = audio.select(group, "ord", "at").join(segs.select(group, "ord", F.col("start_ms").alias("_s")), [group, "ord"], "full_outer")
+    late = met.where(F.col("at").isNull() | F.col("_s").isNull() | (F.abs(F.col("at") - F.col("_s")) > AUDIO)).select(group, F.lit("audio"), F.col("ord").cast("string"))
+    named = video.select(group, "src").union(audio.select(group, "src")).where("src <> ''").distinct()
+    gone = named.join(files.select(F.col("path").alias("src")), "src", "left_anti").select(group, F.lit("file"), "src")
+    return seams.union(apart).union(late).union(gone)
+
+
 def shot_frame(explicit: Column, found: Column, item: Column, files: Column) -> Column:
     """The file of a shot: the one that it names, if that is there, else the frame that was found, else the one that is
     named after its item, if that is there."""

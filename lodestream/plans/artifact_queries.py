@@ -160,6 +160,19 @@ def shots(spark: SparkSession, d: str) -> DataFrame:
     return a.union(cards.select(_s("conv_id"), "path")).union(timeline.ffconcat(track, "conv_id").select(F.concat(F.lit("f"), _s("conv_id")), F.sha1("text")))
 
 
+def plan_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Planted faults of render plans: late audio, missing files, totals apart, an open seam."""
+    turns = read(spark, d, "conversations").withColumn("dur", (F.length(F.coalesce("text", F.lit(""))) * 10).cast("long"))
+    timed = timeline.timeline(timeline.script(turns, "conv_id", "role", ["turn", "text"], "text"), "conv_id", "role", "ord", "dur")
+    spans = timeline.spans(timed, "conv_id", "role").withColumn("end", F.max("end_ms").over(timeline.Window.partitionBy("conv_id")))
+    n, c = F.col("span"), F.col("conv_id")
+    video = timeline.tile(spans.withColumn("total", F.when(c % 4 == 0, F.col("end") + 100).otherwise(F.col("end"))), "conv_id", "total")
+    video = video.withColumns({"show_to": F.when((c % 3 == 0) & (n == 0), F.col("show_to") - 500).otherwise(F.col("show_to")), "src": F.concat(F.lit("v"), (n % 4).cast("string"))})
+    audio = timed.where("conv_id % 7 <> 0 or ord <> 1").select("conv_id", "ord", (F.col("start_ms") + F.when(F.col("ord") % 5 == 0, 2).otherwise(1)).alias("at"), F.lit("a").alias("src"))
+    files = spark.sql("SELECT * FROM VALUES ('a'), ('v0'), ('v1'), ('v2') AS t(path)")
+    return timeline.plan_faults(video, audio, timed, files, "conv_id", "total", "end")
+
+
 def endpoints(spark: SparkSession, d: str) -> DataFrame:
     """Endpoints in order of health, the best turned, and the title prints of documents by parts."""
     e = read(spark, d, "events").select(F.concat(F.lit("u"), _s("user_id")).alias("name"), (F.col("event_type") != "error").alias("ok"))
@@ -181,7 +194,7 @@ def part_prints(spark: SparkSession, d: str) -> DataFrame:
     return hashing.simhash(docs, "doc_id", hashing.display_features(whole))
 
 
-QUERIES = {f.__name__: f for f in (json_lines, run_artifacts, review_round, file_hashes, normal_forms, named, spoken_forms, hooks, small_rules, imported_run, shots, endpoints, asked_pairs, part_prints)}
+QUERIES = {f.__name__: f for f in (json_lines, run_artifacts, review_round, file_hashes, normal_forms, named, spoken_forms, hooks, small_rules, imported_run, shots, plan_faults, endpoints, asked_pairs, part_prints)}
 
 
 def _zh(n: str) -> str:
@@ -226,6 +239,10 @@ ORACLES = {
         w AS (SELECT item, min(CASE WHEN si = 0 THEN start_ms END) AS a, min(CASE WHEN si = 1 THEN end_ms END) AS b FROM s WHERE item NOT IN (SELECT item FROM o) GROUP BY 1)
         SELECT item, start_ms || '|' || end_ms || '|o.png' AS v FROM o UNION ALL SELECT item, a || '|' || b FROM w WHERE a IS NOT NULL AND b IS NOT NULL UNION ALL SELECT conv_id::VARCHAR, arg_min('c' || ord, (item, ord)) FROM s WHERE ord > 0 GROUP BY conv_id
         UNION ALL SELECT 'f' || conv_id, sha1('ffconcat version 1.0' || chr(10) || string_agg(""" + _FILE.format(ord="ord") + """ || chr(10) || 'duration ' || printf('%.3f', (end_ms - start_ms) / 1000.0), chr(10) ORDER BY ord) || chr(10) || """ + _FILE.format(ord="max(ord)") + """ || chr(10)) FROM s GROUP BY conv_id""",
+    "plan_faults": _TIMELINE + """, s0 AS (SELECT conv_id, span, min(start_ms) AS a, max(end_ms) AS b FROM m GROUP BY ALL), s AS (SELECT *, max(b) OVER (PARTITION BY conv_id) AS e FROM s0), v AS (SELECT *, CASE WHEN conv_id % 4 = 0 THEN e + 100 ELSE e END AS total, row_number() OVER w = 1 AS first, lead(a) OVER w AS n FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY a)),
+        x AS (SELECT *, CASE WHEN first THEN 0 ELSE a END AS f, coalesce(n, total) - CASE WHEN conv_id % 3 = 0 AND span = 0 THEN 500 ELSE 0 END AS t FROM v), y AS (SELECT *, lag(t) OVER (PARTITION BY conv_id ORDER BY f) AS p FROM x)
+        SELECT conv_id, 'seam' AS fault, f::VARCHAR AS detail FROM y WHERE abs(f - p) > 40 UNION ALL SELECT conv_id, 'no_length', f::VARCHAR FROM y WHERE t <= f UNION ALL SELECT conv_id, 'last_not_total', f::VARCHAR FROM y WHERE n IS NULL AND abs(t - total) > 40
+        UNION ALL SELECT DISTINCT conv_id, 'total', total::VARCHAR FROM y WHERE abs(total - e) > 50 UNION ALL SELECT conv_id, 'audio', ord::VARCHAR FROM m WHERE ord % 5 = 0 OR (conv_id % 7 = 0 AND ord = 1) UNION ALL SELECT DISTINCT conv_id, 'file', 'v3' FROM s WHERE span % 4 = 3""",
     "endpoints": """WITH h AS (SELECT 'u' || user_id AS name, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE -2 END)::BIGINT AS score FROM events GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY score DESC, name) - 1 AS rank FROM h)
         SELECT name, score, rank, CASE WHEN rank < 3 THEN (rank + 2) % 3 ELSE rank END AS place FROM r""",
     "asked_pairs": "SELECT key, cluster_id, cos FROM (" + _CORE["cascade"] + ") WHERE via = 'judge_na'",

@@ -34,7 +34,7 @@ RESPONSES = {
     "openrouter": ('{"data":[{"id":"m/{id}","name":"N{id}","created":1704164645,"description":"D"}]}', "N{id}", "https://openrouter.ai/m/{id}", _WHEN, "D", "m/{id}", None, "signal"),
     "cohere": ('{"data":[{"title":"T{id}","slug":"s{id}","date":"2024-01-02T03:04:05Z","subtitle":"U","_id":"x"}]}', "T{id}", "https://cohere.com/blog/s{id}", _WHEN, "U", "s{id}", None, ""),
     "bloomberglaw": ('{"data":{"articles":{"items":[{"headline":"H{id}","url":"https://b.example/{id}","postedDate":"2024-01-02T03:04:05Z","summary":"S","id":"{id}"}]}}}', "H{id}", "https://b.example/{id}", _WHEN, "S", "{id}", None, ""),
-    "reddit": ('{"data":{"children":[{"data":{"title":"T{id}","permalink":"/r/x/{id}","created_utc":1704164645,"selftext":"X","name":"t3_{id}","link_flair_text":"F","score":3}}]}}', "T{id}", "https://www.reddit.com/r/x/{id}", _WHEN, "X", "t3_{id}", None, "flair:F,score:3"),
+    "reddit": ('{"data":{"children":[{"data":{"title":"T{id}","permalink":"/r/x/{id}","created_utc":1704164645,"selftext":" [removed] ","name":"t3_{id}","link_flair_text":"F","score":3}}]}}', "T{id}", "https://www.reddit.com/r/x/{id}", _WHEN, "", "t3_{id}", None, "flair:F,score:3"),
     "weibo_hot_band": ('{"data":{"band_list":[{"word":"w{id}","category":"c","mid":"m{id}"}]}}', "w{id}", "https://s.weibo.com/weibo?q=w{id}", None, "c", "m{id}", None, "c"),
     "weibo_posts": ('{"data":{"list":[{"text_raw":"T{id}","mblogid":"b{id}","user":{"idstr":"9"},"created_at":"2024-01-02T03:04:05Z","original_pic":"p.png"}]}}', "T{id}", "https://weibo.com/9/b{id}", _WHEN, "T{id}", "b{id}", "p.png", ""),
     "x_syndication": ('{"props":{"pageProps":{"timeline":{"entries":[{"content":{"tweet":{"full_text":"T{id}","id_str":"{id}","user":{"screen_name":"u"},"created_at":"2024-01-02T03:04:05Z"}}}]}}}}', "T{id}", "https://x.com/u/status/{id}", _WHEN, "T{id}", "{id}", None, ""),
@@ -74,8 +74,8 @@ def feed_forms(spark: SparkSession, d: str) -> DataFrame:
     page = read(spark, d, "pages").where("url is not null")
     atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title type="text">p'), n.cast("string"), F.lit('</title><link rel="self" href="x"/><link rel="alternate" href="'), link, F.lit('"/><summary type="html">S &lt;b&gt;x&lt;/b&gt;</summary><updated>2024-01-02T03:04:05Z</updated><id>i'), n.cast("string"), F.lit('</id><category term="a"/><category term="b"/></entry></feed>'))
     rdf = F.concat(F.lit('<rdf:RDF xmlns:rdf="r" xmlns:dc="d"><channel><title>c</title></channel><item rdf:about="g'), n.cast("string"), F.lit('"><title>p'), n.cast("string"), F.lit("</title><link>"), link, F.lit("</link><description>D</description><dc:date>2024-01-02T03:04:05Z</dc:date></item></rdf:RDF>"))
-    image = F.when(n % 3 == 0, F.lit('<media:thumbnail url="t.png"/>')).when(n % 3 == 1, F.lit('<enclosure url="e.png" type="image/png"/>')).otherwise("")
-    rss = F.concat(F.lit('<rss xmlns:media="m"><channel><item><title>p'), n.cast("string"), F.lit("</title><link>"), link, F.lit("</link><description>D &lt;i&gt;x&lt;/i&gt;</description><guid>g</guid>"), image, F.lit("</item><item><title>no link</title></item></channel></rss>"))
+    image = F.when(n % 3 == 0, F.lit('<media:thumbnail url="t.png"/>')).when(n % 3 == 1, F.lit('<enclosure url="e.png" type="image/png"/>')).otherwise('<itunes:image href="it.png"/><enclosure url="e.png" type="image/png"/>')
+    rss = F.concat(F.lit('<rss xmlns:media="m" xmlns:itunes="i"><channel><item><title>p'), n.cast("string"), F.lit("</title><link>"), link, F.lit("</link><description>D &lt;i&gt;x&lt;/i&gt;</description><guid>g</guid>"), image, F.lit("</item><item><title>no link</title></item></channel></rss>"))
     cols = lambda df, form, image: df.select(F.lit(form).alias("form"), "page_id", "title", "url", F.unix_timestamp("date_published").alias("published"), "summary", "guid", image.alias("image"))
     a = cols(feeds.atom_items(page.select("page_id", atom.alias("body")), "page_id", "body"), "atom", F.array_join("tags", ","))
     b = cols(more_feeds.rdf_items(page.select("page_id", rdf.alias("body")), "page_id", "body"), "rdf", F.lit(None).cast("string"))
@@ -149,7 +149,8 @@ def source_states(spark: SparkSession, d: str) -> DataFrame:
     fetches = read(spark, d, "nation").select(F.concat(F.lit("s"), _s("n_nationkey")).alias("name"), F.when(F.col("n_nationkey") % 6 == 0, 304).when(F.col("n_nationkey") % 6 == 1, 429).otherwise(200).alias("http_status"), F.element_at(F.array(*map(F.lit, bodies)), (F.col("n_nationkey") % 4 + 1).cast("int")).alias("body"))
     got = fetch.collection_status(table, fetches, ("rss", "json", "manual"), False)
     rendered = dates.render_dates(F.col("feed_url"), F.lit("2024-01-19 22:30:00").cast("timestamp"))
-    kind = fetch.fallback_kind(F.when(F.col("method") == "rss", F.lit("https://r.example/x.rss?y")).when(F.col("method") == "json", F.lit("https://m.weibo.cn/z")).otherwise("https://z"))
+    number = F.regexp_extract("name", r"(\d+)", 1).cast("int")
+    kind = fetch.fallback_kind(F.when(number % 3 == 0, F.lit("reddit")).when(number % 3 == 1, F.lit("weibo")).otherwise("rss"), F.when(number % 2 == 0, F.lit("https://r.example/x.rss?y")).otherwise("https://m.weibo.cn/z"))
     tags = F.array_join(fetch.stamp_via(F.when(F.col("enabled"), F.array(F.lit("a"), F.lit("via:m"))), "m"), ",")
     return got.select("name", "status", "tier", "max_items_per_source", rendered.alias("url"), kind.alias("fallback"), tags.alias("tags"))
 
@@ -217,7 +218,7 @@ ORACLES = {
         FROM documents, (VALUES ('A', 'https://x.example/p/{id}', '1704164645', 'D', 'i{id}', 'i.png'), ('B', 'https://y.example/{id}', NULL, NULL, '', NULL), ('D', 'https://x.example/b/q', NULL, NULL, '', NULL)) AS t(column0, column1, column2, column3, column4, column5) WHERE doc_id % 5 > 1""",
     "feed_forms": """SELECT 'atom' AS form, page_id, 'p' || page_id AS title, url, 1704164645 AS published, 'S x' AS summary, 'i' || page_id AS guid, 'a,b' AS image FROM pages WHERE url IS NOT NULL
         UNION ALL SELECT 'rdf', page_id, 'p' || page_id, url, 1704164645, 'D', 'g' || page_id, NULL FROM pages WHERE url IS NOT NULL
-        UNION ALL SELECT 'rss', page_id, 'p' || page_id, url, NULL, 'D x', 'g', CASE page_id % 3 WHEN 0 THEN 't.png' WHEN 1 THEN 'e.png' END FROM pages WHERE url IS NOT NULL""",
+        UNION ALL SELECT 'rss', page_id, 'p' || page_id, url, NULL, 'D x', 'g', CASE page_id % 3 WHEN 0 THEN 't.png' WHEN 1 THEN 'e.png' ELSE 'it.png' END FROM pages WHERE url IS NOT NULL""",
     "sitemaps": """WITH c AS (SELECT r_regionkey AS r, k, row_number() OVER (PARTITION BY r_regionkey ORDER BY k) AS c FROM region, range(1, 9) AS t(k) WHERE r_regionkey = 0 OR k % 2 = 0),
         u AS (SELECT r::VARCHAR AS source, 'https://x.example/' || CASE WHEN n_nationkey % 4 = 0 THEN 'news' ELSE 'a' END || '/' || r || '-' || k || '-' || n_nationkey AS loc, row_number() OVER (PARTITION BY r ORDER BY c, n_nationkey) - 1 AS place FROM c, nation WHERE c <= 5),
         n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY NOT contains(loc, '/news/'), place) AS rank FROM u WHERE place % 3 <> 0)
@@ -239,7 +240,7 @@ ORACLES = {
             array_to_string(list_concat(coalesce(regexp_extract_all(t, '#(\w+)', 1), [])[1:8], CASE WHEN coalesce(lower(a), '') <> 'me' THEN ['retweet'] ELSE [] END), ',') AS tags, 1704164645 + n AS date FROM y""",
     "source_states": """WITH s AS (SELECT i, 's' || i AS name, ['rss', 'json', 'odd', 'manual'][i % 4 + 1] AS m FROM range(40) AS t(i)), f AS (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 6 = 0 THEN 304 WHEN n_nationkey % 6 = 1 THEN 429 ELSE 200 END AS c, ['ok', 'empty', 'walled', 'shell_only'][n_nationkey % 4 + 1] AS b FROM nation)
         SELECT name, CASE WHEN m = 'odd' THEN 'unknown_method' WHEN i % 5 = 0 THEN 'disabled' WHEN i % 7 = 0 THEN 'proxy_down' WHEN m = 'manual' THEN 'manual_entry' WHEN c IS NULL THEN 'collector_not_ready' WHEN c = 304 THEN 'not_modified' WHEN b = 'walled' THEN 'walled' WHEN c = 429 THEN 'rate_limited' ELSE b END AS status,
-            'A' AS tier, 40 AS max_items_per_source, 'https://h.example/' || (DATE '2024-01-20' - i::INT) || '/2024-01-20?a=' || (epoch(TIMESTAMP '2024-01-19 22:30:00')::BIGINT + 86400) AS url, CASE m WHEN 'rss' THEN 'rss' WHEN 'json' THEN 'json' END AS fallback, CASE WHEN i % 5 <> 0 THEN 'a,via:m' ELSE 'via:m' END AS tags FROM s LEFT JOIN f ON k = i""",
+            'A' AS tier, 40 AS max_items_per_source, 'https://h.example/' || (DATE '2024-01-20' - i::INT) || '/2024-01-20?a=' || (epoch(TIMESTAMP '2024-01-19 22:30:00')::BIGINT + 86400) AS url, CASE WHEN i % 3 = 0 AND i % 2 = 0 THEN 'rss_fallback' WHEN i % 3 = 1 AND i % 2 = 1 THEN 'json_fallback' END AS fallback, CASE WHEN i % 5 <> 0 THEN 'a,via:m' ELSE 'via:m' END AS tags FROM s LEFT JOIN f ON k = i""",
     "emitted_items": """WITH r AS (SELECT doc_id, source, 'u' || doc_id % 700 AS u, doc_id % 3 = 0 OR doc_id % 31 = 1 AS sig, doc_id % 31 = 1 AND doc_id % 3 <> 0 AS page, doc_id % 2 = 0 AS w FROM documents), s AS (SELECT DISTINCT source, u FROM r WHERE doc_id % 5 = 0),
         e AS (SELECT r.*, s.u IS NULL AS new FROM r LEFT JOIN s ON s.source = r.source AND s.u = r.u WHERE NOT sig OR s.u IS NULL OR page QUALIFY row_number() OVER (PARTITION BY r.source ORDER BY sig, doc_id) <= 40)
         SELECT source, count(*) AS items, count_if(new) AS items_new, count_if(NOT sig AND w) AS items_fresh, min(doc_id) AS first, max(doc_id) AS last FROM e GROUP BY 1""",

@@ -186,9 +186,12 @@ def leaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stage_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """Seconds between stages of a run: the days' first events."""
+    """Seconds of a run's stages, some of them measured, and its judge calls by prompt."""
     e = read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).where("event_id < 500")
-    return select.stage_seconds(e.select("event_id", "ts"), "event_id", "ts").select("event_id", "seconds")
+    n = F.col("event_id")
+    timed = select.stage_seconds(e.select("event_id", "ts", F.when(n % 7 == 0, F.lit(12.34)).alias("elapsed")), "event_id", "ts", "elapsed")
+    calls = select.token_sums(e.select("event_type", n.alias("tokens_in"), F.when(n % 2 == 0, n).alias("tokens_out")), "event_type")
+    return timed.select(_s("event_id").alias("what"), "seconds", F.lit(None).cast("long").alias("more")).union(calls.select("event_type", F.col("tokens_in").cast("double"), "tokens_out"))
 
 
 def gate_places(spark: SparkSession, d: str) -> DataFrame:
@@ -326,7 +329,8 @@ ORACLES = {
         UNION ALL SELECT c, 'sampled', turn::BIGINT, substr(text, 1, 20) FROM t WHERE i % greatest(a // 2, 1) = 0 AND i / greatest(a // 2, 1) < 2""",
     "leaks": """WITH f AS (SELECT label, arg_min(embedding, vec_id)::DOUBLE[] AS v FROM embeddings GROUP BY 1)
         SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], v), 5) AS cos FROM embeddings JOIN f USING (label) WHERE list_cosine_similarity(embedding::DOUBLE[], v) > 0.5""",
-    "stage_metrics": "SELECT event_id, CASE WHEN g >= 0 THEN g END AS seconds FROM (SELECT event_id, lead(epoch_us(ts) // 1000000) OVER (ORDER BY event_id) - epoch_us(ts) // 1000000 AS g FROM events WHERE event_id < 500)",
+    "stage_metrics": """SELECT event_id::VARCHAR AS what, CASE WHEN event_id % 7 = 0 THEN 12.3 WHEN g >= 0 THEN g END::DOUBLE AS seconds, NULL::BIGINT AS more FROM (SELECT event_id, lead(epoch_us(ts) // 1000000) OVER (ORDER BY event_id) - epoch_us(ts) // 1000000 AS g FROM events WHERE event_id < 500)
+        UNION ALL SELECT event_type, sum(event_id)::DOUBLE, coalesce(sum(CASE WHEN event_id % 2 = 0 THEN event_id END), 0)::BIGINT FROM events WHERE event_id < 500 GROUP BY 1""",
     "gate_places": """WITH x AS (SELECT doc_id AS n, ['keep', 'drop', 'review'][doc_id % 3 + 1] AS v, CASE WHEN doc_id % 4 = 0 THEN 'fresh' WHEN doc_id % 2 = 0 THEN 'suppressed' END AS dd FROM documents),
         y AS (SELECT *, CASE WHEN v = 'drop' OR n % 5 = 0 THEN 'skipped' WHEN dd = 'suppressed' THEN 'suppressed' ELSE 'kept' END AS place FROM x), z AS (SELECT *, place = 'kept' AND v = 'keep' AND coalesce(dd, '') = 'fresh' AS recommended FROM y)
         SELECT n::VARCHAR AS item_key, place, CASE WHEN v = 'drop' THEN 'dropped' WHEN n % 5 = 0 THEN 'stale' ELSE coalesce(dd, 'gray') END AS reason, recommended, CASE WHEN recommended THEN CASE WHEN n % 8 = 0 THEN 'run' ELSE 'pool' END END AS of FROM z""",

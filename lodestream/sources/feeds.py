@@ -16,7 +16,7 @@ from lodestream.functions.text import strip_tags
 
 _LINK = "array<struct<_href:string,_rel:string,_type:string,_VALUE:string>>"
 _TEXT = "array<struct<_VALUE:string,_term:string>>"
-RSS_ITEM = f"struct<title:string,link:{_LINK},description:string,`content:encoded`:string,pubDate:string,`dc:date`:string,guid:struct<_VALUE:string>,category:{_TEXT},`media:thumbnail`:array<struct<_url:string>>,`media:content`:array<struct<_url:string,_medium:string,_type:string>>,enclosure:array<struct<_url:string,_type:string>>>"
+RSS_ITEM = f"struct<title:string,link:{_LINK},description:string,`content:encoded`:string,pubDate:string,`dc:date`:string,guid:struct<_VALUE:string>,category:{_TEXT},`media:thumbnail`:array<struct<_url:string>>,`media:content`:array<struct<_url:string,_medium:string,_type:string>>,enclosure:array<struct<_url:string,_type:string>>,`itunes:image`:struct<_href:string>,image:struct<_href:string,href:string>>"
 RSS = f"struct<channel:struct<title:string,item:array<{RSS_ITEM}>>>"
 ATOM = f"struct<title:struct<_VALUE:string>,entry:array<struct<title:struct<_VALUE:string>,link:{_LINK},summary:struct<_VALUE:string>,content:struct<_VALUE:string>,published:string,updated:string,id:string,category:{_TEXT},`media:group`:struct<`media:thumbnail`:array<struct<_url:string>>>>>>"
 SITEMAP = "struct<url:array<struct<loc:string,lastmod:string>>,sitemap:array<struct<loc:string,lastmod:string>>>"
@@ -31,7 +31,8 @@ def rss_items(docs: DataFrame, source: str, body: str) -> DataFrame:
     is_image = lambda x: F.coalesce(x["_medium"], F.lit("")).startswith("image") | F.coalesce(x["_type"], F.lit("")).contains("image")
     image = F.coalesce(
         F.get(F.filter(F.col("_entry.`media:thumbnail`"), lambda x: x["_url"].isNotNull()), 0)["_url"], F.get(F.filter(F.col("_entry.`media:content`"), lambda x: is_image(x) & x["_url"].isNotNull()), 0)["_url"],
-        F.get(F.filter("_entry.enclosure", lambda x: F.coalesce(x["_type"], F.lit("")).contains("image")), 0)["_url"],
+        F.col("_entry.`itunes:image`._href"), F.get(F.filter("_entry.enclosure", lambda x: F.coalesce(x["_type"], F.lit("")).contains("image")), 0)["_url"],
+        F.coalesce("_entry.image._href", "_entry.image.href"),
     )
     text = F.coalesce(F.nullif(strip_tags(F.col("_entry.`content:encoded`")), F.lit("")), F.nullif(strip_tags(F.col("_entry.description")), F.lit("")))
     tags = F.slice(F.array_compact(F.transform("_entry.category", lambda c: F.nullif(F.trim(c["_VALUE"]), F.lit("")))), 1, 8)
@@ -77,6 +78,7 @@ class Adapter:
     unwrap: tuple[str, ...] = ()
     signal: bool = False
     rewrite: tuple[tuple[str, str], ...] = field(default=())
+    blank: tuple[str, ...] = ()
 
 
 # The field maps of the known APIs.
@@ -98,7 +100,7 @@ ADAPTERS = {
     "zenodo": Adapter(("$.data", "$.hits.hits"), ("titles[0].title", "titles[0]", "title"), ("url", "https://doi.org/{doi}"), ("published", "created", "publication_date"), ("descriptions[0].description", "description"), ("doi", "id"), unwrap=("attributes", "metadata")),
     "openrouter": Adapter(("$.data",), ("name", "id"), ("https://openrouter.ai/{id}",), ("created",), ("description",), ("id",), signal=True),
     "cohere": Adapter(("$.result", "$.data"), ("title",), ("https://cohere.com/blog/{slug}",), ("date",), ("subtitle",), ("slug", "_id")),
-    "reddit": Adapter(("$.data.children",), ("title",), ("url_overridden_by_dest", "url", "https://www.reddit.com{permalink}"), ("created_utc",), ("selftext",), ("name", "id"), ("thumbnail",), ("flair:{link_flair_text}", "score:{score}"), unwrap=("data",)),
+    "reddit": Adapter(("$.data.children",), ("title",), ("url_overridden_by_dest", "url", "https://www.reddit.com{permalink}"), ("created_utc",), ("selftext",), ("name", "id"), ("thumbnail",), ("flair:{link_flair_text}", "score:{score}"), unwrap=("data",), blank=("[removed]", "[deleted]")),
     "weibo_hot_band": Adapter(("$.data.band_list",), ("word", "note"), ("https://s.weibo.com/weibo?q={word}",), (), ("category",), ("mid", "word"), tags=("{category}",)),
     "weibo_posts": Adapter(("$.data.list", "$.data.cards"), ("text_raw", "text"), ("https://weibo.com/{user.idstr}/{mblogid}", "https://m.weibo.cn/status/{bid}"), ("created_at",), ("text_raw", "text"), ("mblogid", "bid", "id"), ("original_pic",), unwrap=("mblog",)),
     "x_syndication": Adapter(("$.props.pageProps.timeline.entries",), ("full_text", "text"), ("https://x.com/{user.screen_name}/status/{id_str}",), ("created_at",), ("full_text", "text"), ("id_str",), ("entities.media[0].media_url_https",), unwrap=("content", "tweet")),
@@ -134,13 +136,15 @@ def json_items(docs: DataFrame, source: str, body: str, adapter: Adapter) -> Dat
         url = F.when(url.contains(mark), F.coalesce(_place(r, template), url)).otherwise(url)
     date = _first(r, adapter.date)
     when = F.coalesce(F.when(date.rlike(r"^\d+(\.\d+)?$"), epoch(date.try_cast("double"))), parse_date(date))
-    image = _first(r, adapter.image)
+    image, said = _first(r, adapter.image), _first(r, adapter.summary)
+    if adapter.blank:
+        said = F.when(~F.coalesce(F.trim(said).isin(*adapter.blank), F.lit(False)), said)
     tags = F.array_compact(F.array(*[_place(r, t) for t in adapter.tags])) if adapter.tags else F.array().cast("array<string>")
     if adapter.tag_list:
         tags = F.slice(F.coalesce(F.try_variant_get(r, f"$.{adapter.tag_list}", "array<string>"), tags), 1, 8)
     if adapter.signal:
         tags = F.array_append(tags, F.lit("signal"))
-    shown = rows.select(source, _first(r, adapter.title).alias("title"), url.alias("url"), when.alias("date_published"), strip_tags(_first(r, adapter.summary)).alias("summary"), F.coalesce(_first(r, adapter.guid), F.lit("")).alias("guid"), F.when(image.startswith("//"), F.concat(F.lit("https:"), image)).otherwise(image).alias("image"), tags.alias("tags"))
+    shown = rows.select(source, _first(r, adapter.title).alias("title"), url.alias("url"), when.alias("date_published"), strip_tags(said).alias("summary"), F.coalesce(_first(r, adapter.guid), F.lit("")).alias("guid"), F.when(image.startswith("//"), F.concat(F.lit("https:"), image)).otherwise(image).alias("image"), tags.alias("tags"))
     return shown.where(F.coalesce("url", F.lit("")) != "")
 
 

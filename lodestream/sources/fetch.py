@@ -67,9 +67,9 @@ def collection_status(sources: DataFrame, fetches: DataFrame, known_methods: tup
     return rows.withColumn("status", status)
 
 
-def fallback_kind(url: Column) -> Column:
+def fallback_kind(method: Column, url: Column) -> Column:
     """Which public fallback a platform source has."""
-    return F.when(url.rlike(r"(?i)\.rss(\?|$)"), "rss").when(url.contains("weibo"), "json")
+    return F.when((method == "reddit") & url.rlike(r"\.rss(\?|$)"), "rss_fallback").when((method == "weibo") & url.contains("weibo"), "json_fallback")
 
 
 def stamp_via(tags: Column, label: str) -> Column:
