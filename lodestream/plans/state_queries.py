@@ -257,12 +257,17 @@ def old_rows(spark: SparkSession, d: str) -> DataFrame:
     return clusters.backfill_rows(docs, F.lit("2024-01-15"))
 
 
-def _same_day(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Documents with vectors as one day's items, and their recalled pairs."""
+def _day(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with vectors as one day's items."""
     docs = read(spark, d, "documents").select("doc_id", "text", "n_chars")
     rows = docs.join(read(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("vector")), "doc_id")
     prints = hashing.simhash(rows.select("doc_id", "text"), "doc_id", hashing.stored_features(F.col("text")))
-    day = materialize(rows.withColumn("tokens", hashing.title_tokens(F.col("text"))).drop("text").join(prints, "doc_id"))
+    return materialize(rows.withColumn("tokens", hashing.title_tokens(F.col("text"))).drop("text").join(prints, "doc_id"))
+
+
+def _same_day(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A day's items and their recalled pairs."""
+    day = _day(spark, d)
     return day, materialize(dedup.candidate_pairs(day, "doc_id", "tokens", "vector"))
 
 
@@ -278,8 +283,18 @@ def same_day_groups(spark: SparkSession, d: str) -> DataFrame:
     return groups.join(reps.select("component", F.col("doc_id").alias("representative")), "component")
 
 
+def cascade_one_by_one(spark: SparkSession, d: str) -> DataFrame:
+    """Odd documents with vectors in the order of their ids, each against the even ones and those before it. No SQL: every
+    decision changes what the next one meets; the tests hold the operator against a plain loop."""
+    rows = _day(spark, d).withColumn("url_hash", F.sha1(F.concat(F.lit("u"), (F.col("doc_id") % 331).cast("string"))))
+    old, n = rows.where("doc_id % 2 = 0"), F.col("doc_id")
+    members = old.select(n.alias("item_id"), n.alias("cluster_id"), "url_hash", "simhash")
+    items_ = rows.where("doc_id % 2 = 1").select(F.lit(_EPISODE).alias("episode"), n.alias("ord"), n.alias("key"), "url_hash", "simhash", "vector")
+    return dedup.cascade_in_order(items_, members, old.select(n.alias("cluster_id"), F.col("vector").alias("centroid")))
+
+
 QUERIES = {f.__name__: f for f in (
-    items_built, pool_candidates, pool_due, pool_statistics, pool_writes, pool_records, real_verdicts, state_tables, run_days, cluster_life, cluster_moves, cluster_writes, stored_rows, cluster_reports, replayed, backfilled, old_rows, same_day_pairs, same_day_groups,
+    items_built, pool_candidates, pool_due, pool_statistics, pool_writes, pool_records, real_verdicts, state_tables, run_days, cluster_life, cluster_moves, cluster_writes, stored_rows, cluster_reports, replayed, backfilled, old_rows, same_day_pairs, same_day_groups, cascade_one_by_one,
 )}
 
 _DAY = """, i AS (SELECT d.doc_id, d.text, d.n_chars, e.embedding::DOUBLE[] AS v, s.simhash FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id JOIN s USING (doc_id)),

@@ -25,7 +25,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", list(q.QUERIES))
+@pytest.mark.parametrize("name", list(q.ORACLES))
 def test_query_equals_sql(spark, duck, name):
     df = q.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
