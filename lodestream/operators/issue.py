@@ -11,8 +11,9 @@ from lodestream.operators.validate import violations
 # Caps of fields in prompts, cards and titles.
 BODY_CAP, TITLE_CAP, CARDS, LONG_SENTENCE, NAV, ENTITIES, FACTS = 600, 30, 8, 45, 12, 20, 30
 MAGNITUDES = {"万": 1e4, "亿": 1e8, "k": 1e3, "K": 1e3, "m": 1e6, "M": 1e6, "b": 1e9, "B": 1e9}
-# Characters before which a number counts things, and those that tie a number to an identifier.
-CONFIDENCES = ("confirmed", "reported", "rumor")
+# How sure an item may be said to be, and what counts as markup.
+CONFIDENCES = ("confirmed", "reported", "rumor", "speculation")
+TAG, BLOCK = r"<[a-zA-Z/!][^>]*>", r"(?m)^\s*(#{1,6}\s|[-*+]\s|>\s|\d+\.\s|```)"
 _NONE = "array<string>"
 
 
@@ -153,7 +154,7 @@ def issue_violations(items: DataFrame, sections: DataFrame, sources: DataFrame,
     url_canon, title, summary, content_text, facts.
     """
     place, error = F.col("id"), "error"
-    tag, none = r"</?[a-zA-Z][^>]*>", F.array().cast(_NONE)
+    none = F.array().cast(_NONE)
     twice = items.groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
     homeless = items.join(sections.select(F.col("slug").alias("section")).distinct(), "section", "left_anti")
     primaries = sources.groupBy("id").agg(F.count_if("primary").alias("n")).where("n > 1")
@@ -164,8 +165,8 @@ def issue_violations(items: DataFrame, sections: DataFrame, sources: DataFrame,
         violations(twice, "duplicate-id", place, F.concat(F.lit("times "), F.col("n").cast("string"))), violations(homeless, "section", place, F.col("section")),
         violations(primaries, "primary", place, F.col("n").cast("string")), violations(sources.where(~F.col("url").rlike("^https?://")), "bad-url", place, F.col("url")), violations(strange, "url-membership", place, F.col("url")),
         violations(items.join(sources.select("id").distinct(), "id", "left_anti"), "no-sources", place, F.lit(""), "warning"), violations(spoken.where(F.trim("s") == ""), "empty-sentence", place, F.lit("")),
-        violations(spoken.where(F.col("s").rlike(tag) | F.contains("s", F.lit("**")) | F.contains("s", F.lit("`"))), "markup-spoken", place, F.col("s")),
-        violations(items.where(F.col("tldr").rlike(tag) | F.exists(F.coalesce("body", none), lambda p: p.rlike(tag))), "markup", place, F.lit("")), violations(items.where(F.contains("tldr", F.lit("\n"))), "line-break", place, F.lit("")),
+        violations(spoken.where(F.col("s").rlike(TAG) | F.col("s").rlike(BLOCK) | F.contains("s", F.lit("**")) | F.contains("s", F.lit("`"))), "markup-spoken", place, F.col("s")),
+        violations(items.where(F.col("tldr").rlike(TAG) | F.exists(F.coalesce("body", none), lambda p: p.rlike(TAG))), "markup", place, F.lit("")), violations(items.where(F.contains("tldr", F.lit("\n"))), "line-break", place, F.lit("")),
     ]
     spine = numbers(F.concat_ws(" ", "headline", "tldr", F.array_join(F.coalesce("body", none), " "), F.array_join(F.coalesce("facts", none), " ")))
     new = items.select("id", F.explode("voice").alias("s"), spine.alias("spine")).select("id", F.explode(F.array_except(numbers(F.col("s")), F.col("spine"))).alias("n"))

@@ -14,7 +14,7 @@ from lodestream.sources.fetch import looks_like_feed
 
 _RDF = "struct<item:array<struct<title:string,link:string,description:string,`dc:date`:string,_about:string>>>"
 # What counts as a sitemap of interest, how many children are read and after how many URLs reading stops.
-SITEMAP_INTEREST, CHILD_CAP, URL_STOP = r"(?i)news|blog|post|article|press|changelog|release", 5, 3000
+SITEMAP_INTEREST, CHILD_CAP, URL_STOP = r"(?i)news|post|article|blog|changelog|release|research|engineering|docs|update", 5, 3000
 # Caps of the catalogues and trees.
 TREE_CAP, TREE_DEPTH, TITLE_CAP, HASHTAGS = 500, 12, 100, 8
 
@@ -147,7 +147,7 @@ def short_posts(rows: DataFrame, handle: Column) -> DataFrame:
     named = title_norm(F.col("text"), unicode=False)
     cut = F.when(F.length(named) > TITLE_CAP, F.concat(F.rtrim(F.substring(named, 1, TITLE_CAP - 1)), F.lit("…"))).otherwise(named)
     who = F.coalesce(F.nullif("author", F.lit("")), handle)
-    tags = F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"#(\w+)"), 1), 1, HASHTAGS)
+    tags = F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?U)#(\w+)"), 1), 1, HASHTAGS)
     return rows.select(
         "id", F.coalesce(F.nullif(cut, F.lit("")), F.concat(F.lit("@"), who, F.lit(" status "), F.col("id").cast("string"))).alias("title"), F.nullif("text", F.lit("")).alias("content_text"),
         F.when(F.lower(F.coalesce("author", F.lit(""))) != F.lower(handle), F.array_append(tags, F.lit("retweet"))).otherwise(tags).alias("tags"), epoch(F.col("created_at_ms").cast("double")).alias("date"),
