@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.functions.text import clip, md_to_html, numbers, slugify, strip_inline_html, tts_text_fix
+from lodestream.functions.text import clip, grouped_numbers, md_to_html, numbers, slugify, strip_inline_html, tts_text_fix
 from lodestream.operators.validate import violations
 
 # Caps of fields in prompts, cards and titles.
 BODY_CAP, TITLE_CAP, CARDS, LONG_SENTENCE, NAV, ENTITIES, FACTS = 600, 30, 8, 45, 12, 20, 30
 MAGNITUDES = {"万": 1e4, "亿": 1e8, "k": 1e3, "K": 1e3, "m": 1e6, "M": 1e6, "b": 1e9, "B": 1e9}
+# The characters of identifiers, and those that a number counts.
+IDENTIFIER, COUNTED = r"A-Za-z0-9._\-", "个只条款位名次种类型套天周月日号倍层部台件篇则起例版代季轮档元角分秒页行字段节章集站校院厂省市县人岁期"
 # How sure an item may be said to be, and what counts as markup.
 CONFIDENCES = ("confirmed", "reported", "rumor", "speculation")
 TAG, BLOCK = r"<[a-zA-Z/!][^>]*>", r"(?m)^\s*(#{1,6}\s|[-*+]\s|>\s|\d+\.\s|```)"
@@ -141,6 +143,21 @@ def fact_numbers(facts: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.concat(F.transform(found, value), F.transform(found, lambda x: value(x) * times(x))))))
 
 
+def loose_numbers(text: Column, allowed: Column) -> Column:
+    """The numbers of a text that nothing allows: not the facts' or the issue's own (allowed, doubles), not years, ordinals
+    or counts of things, and not part of a name.
+
+    A number is read with what it hangs together with: an ordinal mark before it, the letters and signs that it is
+    written into, a measure word after it.
+    """
+    runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?:第[ *`]*)?[{IDENTIFIER}]*[0-9][{IDENTIFIER},]*(?:[ *`]*[{COUNTED}])?"), 0)
+    bare = F.filter(runs, lambda r: ~F.startswith(r, F.lit("第")) & ~r.rlike("[A-Za-z]") & ~r.rlike(f"[{COUNTED}]$"))
+    found = F.flatten(F.transform(bare, lambda r: grouped_numbers(r)))
+    year = lambda v: (v == F.floor(v)) & v.between(1900, 2100)
+    near = lambda v: F.exists(allowed, lambda a: F.abs(v - a) <= F.greatest(F.abs(v), F.abs(a)) * 1e-9)
+    return F.filter(found, lambda x: ~year(x.cast("double")) & ~near(x.cast("double")))
+
+
 def input_numbers(rows: DataFrame) -> Column:
     """All numbers of an item's inputs: title, summary, content_text and facts."""
     texts = [F.col(c) for c in ("title", "summary", "content_text")]

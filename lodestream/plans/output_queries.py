@@ -56,6 +56,19 @@ def fact_numbers(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", F.array_join(F.transform(issue.fact_numbers(F.col("facts")), lambda x: x.cast("long").cast("string")), ",").alias("found"))
 
 
+_LOOSE = (
+    ("GPT-6 有 3 个模型，第 7 期，2024 年涨 12.5% 到 99", "99"), ("v2.0 和 1,500 人，**8** 款，余 1,501 与 3.14", "1501,3.14"), ("Qwen3.8-29B 29B 2101 1899 1900", "2101,1899"), ("第 ** 12 与 12", "12"), ("", ""),
+)
+
+
+def loose_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers that nothing allows, of planted texts and of the documents."""
+    planted = spark.createDataFrame([(t,) for t, _ in _LOOSE], "t string").select(F.col("t").alias("k"), _join(issue.loose_numbers(F.col("t"), F.array(F.lit(12.5)))).alias("v"))
+    n = F.col("doc_id")
+    said = F.concat(F.lit("pays "), n.cast("string"), F.lit(", 第 5 of 77 or x-9"))
+    return planted.union(read(spark, d, "documents").select(n.cast("string"), _join(issue.loose_numbers(said, F.array(n.cast("double") / 2)))))
+
+
 def normal_items(spark: SparkSession, d: str) -> DataFrame:
     """What a judge said of every second item, in the form of the issue, and the sections of the whole."""
     kept = _docs(spark, d).select("id", F.coalesce("section", F.lit("misc")).alias("section"), F.col("headline").alias("title"), F.col("tldr").alias("summary"), "entities", "facts", F.when(F.col("doc_id") % 2 == 0, F.lit("i.png")).alias("image"), "url")
@@ -261,7 +274,7 @@ def text_marks(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    section_slugs, prompt_blocks, item_cards, fact_numbers, normal_items, normal_sections, issue_violations, selected_errors, titles, edits, summaries, words_found, decided, verdict_rows, unique_slugs, reviewer_decision, issue_report,
+    section_slugs, prompt_blocks, item_cards, fact_numbers, loose_numbers, normal_items, normal_sections, issue_violations, selected_errors, titles, edits, summaries, words_found, decided, verdict_rows, unique_slugs, reviewer_decision, issue_report,
     leaks, stage_metrics, gate_places, loaded, keys_and_sources, plan_frames, artifact_states, text_marks,
 )}
 
@@ -289,6 +302,7 @@ ORACLES = {
             CASE WHEN n % 2 = 0 THEN 'A b/' || """ + _HTML.format(x="body") + r""" || '/star|C/short/article' ELSE '要点/' || """ + _HTML.format(x="spare") + r""" || '/article' END AS cards,
             regexp_replace(trim(regexp_replace(spare, '\*\*|`', '', 'g')), '。+$', '') || '。' AS voice FROM x""",
     "fact_numbers": "SELECT doc_id, array_to_string(list_transform(list_sort(list_distinct([doc_id::DOUBLE, doc_id * 10000, 3.5, 3.5e9, 2, 2000])), lambda x: trunc(x)::BIGINT::VARCHAR), ',') AS found FROM documents",
+    "loose_numbers": f"SELECT * FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in _LOOSE)}) AS t(k, v) UNION ALL SELECT doc_id::VARCHAR, CASE WHEN doc_id BETWEEN 1900 AND 2100 OR doc_id = 0 THEN '77' WHEN doc_id = 154 THEN '154' ELSE doc_id || ',77' END FROM documents",
     "normal_items": _DOCS + r"""x AS (SELECT *, n % 2 = 0 AS said, coalesce(section, 'misc') AS sec, replace(replace(headline, '<strong>', '**'), '</strong>', '**') AS h FROM d)
         SELECT id, sec AS section, coalesce(nullif(substr(headline, 1, 12), ''), id) AS nav, CASE WHEN said AND n % 4 = 0 THEN 'Said **so**' ELSE coalesce(h, '') END AS headline, trim(regexp_replace(coalesce(tldr, ''), '\s+', ' ', 'g')) AS tldr,
             CASE WHEN said THEN 'first `p`|second' ELSE coalesce(nullif(tldr, ''), h, id) END AS body, CASE WHEN n % 4 = 0 THEN 'rumor' ELSE 'reported' END AS confidence, CASE WHEN said THEN 'E' ELSE '' END AS entities, 2 AS facts, CASE WHEN said THEN 'i.png' END AS image,
