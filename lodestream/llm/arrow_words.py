@@ -18,7 +18,7 @@ _GAP = np.arange(256, dtype=np.uint8)
 _GAP[9:14] = 32
 _KEY = "lodestream-words"
 #: A worker takes up so much text at a time: what it makes of a batch is a small multiple of this.
-PIECE_ROWS, PIECE_BYTES = 1_000, 2 << 20
+PIECE_ROWS, PIECE_BYTES, RELEASE = 1_000, 2 << 20, 4
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33))
 
 
@@ -41,7 +41,7 @@ def one_thread() -> None:
 
 
 def release() -> None:
-    """Gives back to the system what a piece has used: allocators keep it otherwise, and a worker lives for many tasks."""
+    """Gives back to the system what pieces have used: allocators keep it otherwise, and a worker lives for many tasks."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -50,6 +50,7 @@ def release() -> None:
 
 def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = PIECE_ROWS, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most so many rows and bytes of the column numbered text; a larger row stands alone."""
+    done = 0
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
@@ -57,8 +58,9 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = PIECE_R
             fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right"))
             to = min(at + rows, max(at + 1, fit))
             yield batch.slice(at, to - at)
-            at = to
-            release()
+            at, done = to, done + 1
+            if done % RELEASE == 0:
+                release()
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:

@@ -1,13 +1,14 @@
 """Language-model scoring: a log-bilinear model with a two-level softmax, trained by noise-contrastive estimation in numpy.
 
 Units: the EMBED * sqrt(types) most frequent words, tails (a hash class of the last two characters, one for every eight of
-those words) for all others, and the end of a text; their number grows with the corpus. Units stand in groups of
-about the square root of their number, by frequency. The log-bilinear context is h = r(word before) C1 + r(word before
-that) C2; P(unit) = softmax of h . q(group) + b(group) over the groups, times the softmax of h . q(unit) + b(unit) over
-the group's units, both normalised in full by batched matrix products. Biases are the logs of the unigram shares, so
-without embeddings the model is the unigram. In a tail, a known word has its discounted share of the tail's counts; what
-the discount frees is shared by the words that training never saw, of which UNSEEN for each known one are assumed. The
-probabilities of a context thus sum to one over the known words, those assumed unseen ones and the end.
+those words) for all others, and the end of a text; their number grows with the corpus. Units stand in groups by
+frequency, about the square root of their number, the frequent ones in small groups. The log-bilinear context is
+h = r(word before) C1 + r(word before that) C2; P(unit) = softmax of h . q(group) + b(group) over the groups, times the
+softmax of h . q(unit) + b(unit) over the group's units, both normalised in full by batched matrix products. Biases are
+the logs of the unigram shares, so without embeddings the model is the unigram. In a tail, a known word has its
+discounted share of the tail's counts; what the discount frees is shared by the words that training never saw, of which
+UNSEEN for each known one are assumed. The probabilities of a context thus sum to one over the known words, those
+assumed unseen ones and the end.
 
 Training reads all texts of the training folds. Word counts are summed by Spark. Then every task runs NCE over its own
 tokens from common initial embeddings: for a minibatch, NOISE groups drawn from the groups' shares, and for each token
@@ -86,19 +87,21 @@ class Units:
         self.start = self.n = self.end + 1  # the start is a context, not an outcome
         c = np.concatenate([counts, tail_counts, [ends]]) + ADD
         order = np.argsort(-c, kind="stable")
-        self.size = math.isqrt(self.n - 1) + 1
         self.rank = np.empty(self.n, np.int64)
         self.rank[order] = np.arange(self.n)
-        self.group = self.rank // self.size
         self.sums = np.concatenate([[0.0], np.cumsum(c[order])])  # by rank
-        self.order, self.edges = order, np.minimum(np.arange(self.groups + 1) * self.size, self.n)
+        # about the square root of their number of groups, of equal sums of roots: frequent words stand in small ones
+        roots = np.cumsum(np.sqrt(c[order]))
+        of_rank = np.floor((roots - np.sqrt(c[order])) / roots[-1] * (math.isqrt(self.n - 1) + 1))
+        self.order, self.edges = order, np.concatenate([[0], np.flatnonzero(of_rank[1:] != of_rank[:-1]) + 1, [self.n]])
+        self.group = (np.searchsorted(self.edges, self.rank, "right") - 1).astype(np.int64)
         mass = np.diff(self.sums[self.edges])
         self.share = mass / mass.sum()
         self.within = c / mass[self.group]
 
     @property
     def groups(self) -> int:
-        return -(-self.n // self.size)
+        return len(self.edges) - 1
 
     def of(self, distinct: pa.Array) -> np.ndarray:
         place = pc.fill_null(pc.index_in(distinct, value_set=pa.array(self.words, pa.large_string())), -1).to_numpy(zero_copy_only=False).astype(np.int64)
