@@ -42,7 +42,7 @@ BLOCK = 256
 #: Ids per word and bits per id by selector (fixed values of the format); selector 0 announces a raw word.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
-SHARD_IDS, MEMO_PIECES, MEMO_IDS, BATCH_BYTES, END_ID = 1_000_000, 1_000_000, 4_000_000, 4 << 20, 0
+SHARD_IDS, MEMO_PIECES, MEMO_IDS, BATCH_BYTES, END_ID = 2_000_000, 2_000_000, 8_000_000, 4 << 20, 0
 _PAD, _MAGIC, _HEAD = 120, b"S8B1", struct.Struct("<4sIQQQ")
 _CLASS_OF_BITS = np.array([next((s for s in range(1, 16) if WIDTHS[s] >= b), 16) for b in range(65)], np.uint8)
 _CLASS_OF_SMALL = _CLASS_OF_BITS[np.array([v.bit_length() for v in range(1 << 16)])]
