@@ -115,9 +115,9 @@ p AS (SELECT least(x.rep, y.rep) AS a, greatest(x.rep, y.rep) AS b, bit_count(xo
 
 def near_components(spark: SparkSession, d: str) -> DataFrame:
     """Every document with the least id of its group of near fingerprints, and whether it stands for the group."""
-    found = graph.components(near_pairs(spark, d).select("a", "b"))
+    found = dedup.hamming_components(materialize(_fingerprints(spark, d)), "doc_id", "simhash", dedup.NEAR)
     docs = read(spark, d, "documents").select("doc_id")
-    joined = docs.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    joined = docs.join(found, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     return joined.withColumn("kept", F.col("doc_id") == F.col("component"))
 
 

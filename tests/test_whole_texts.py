@@ -1,9 +1,14 @@
 """Queries over documents read whole texts: small tables against brute force."""
 
 import hashlib
+import random
 import re
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+
+from lodestream.operators import dedup
 from lodestream.plans import queries as q
 
 TOKEN, RUN = r"[a-z0-9]+|[一-鿿]", r"[a-z0-9]+|[一-鿿]+"
@@ -79,3 +84,28 @@ def test_rare_tokens_of_whole_texts(spark, tmp_path):
 def test_spoken_form_of_whole_texts(spark, tmp_path):
     d = _documents(spark, tmp_path, {1: "plain words " * 20 + "GPT-4 and  8-bit"})
     assert q.text_forms(spark, d).where("doc_id = 1").first().spoken == "plain words " * 20 + "GPT 4 and 8 bit"
+
+
+def test_groups_of_near_fingerprints_in_few_links(spark):
+    """400 fingerprints within four bits of each other make 79,800 pairs, but few links; chains and copies hold."""
+    rng = random.Random(5)
+    dense = [0x0123456789ABCDEF ^ 1 << i ^ 1 << j for i, j in list(combinations(range(60), 2))[:400]]
+    chain = [rng.getrandbits(64)]
+    for _ in range(30):
+        chain.append(chain[-1] ^ sum(1 << i for i in rng.sample(range(64), 4)))
+    prints = dense + chain + chain[:5] + [rng.getrandbits(64) for _ in range(50)] + [0, (1 << 64) - 1]
+    rng.shuffle(prints)
+    least = list(range(len(prints)))
+    near = [(a, b) for a, b in combinations(least, 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    moved = True
+    while moved:
+        moved = False
+        for a, b in near:
+            m = min(least[a], least[b])
+            moved, least[a], least[b] = moved or least[a] != least[b], m, m
+    df = spark.createDataFrame([(i, p - (p >> 63 << 64)) for i, p in enumerate(prints)] + [(999, None)], "k long, fp long")
+    for together in (None, 1, 3):
+        assert {r.k: r.component for r in dedup.hamming_components(df, "k", "fp", 4, together).collect()} == dict(enumerate(least))
+    rows = np.array([list(range(400)), dense, [7] * 400])
+    cut = [pa.RecordBatch.from_arrays([pa.array(c) for c in rows[:, at : at + 90]], names=["rep", "fp", "band"]) for at in range(0, 400, 90)]
+    assert sum(b.num_rows for b in dedup._bucket_links(iter(cut), 4)) == 399
